@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
-from ledgerlark.functions.money import MONEY, RATE
 from ledgerlark.operators.dedup import dedup_source
 from ledgerlark.sources.schemas import LOADED_AT, RAW_TABLES, RawTable
 
 # Landing precision -> staged precision; the cast rounds.
-_NARROW = {T.DecimalType(12, 2): MONEY, T.DecimalType(12, 6): RATE}
+NARROW = {"decimal(12,2)": "decimal(10,2)", "decimal(12,6)": "decimal(10,4)"}
 
 
-def _staged(table: RawTable, column: T.StructField) -> Column:
-    if column.name == LOADED_AT:
-        return F.col(LOADED_AT).alias("_loaded_at")
-    value = F.col(column.name)
-    if column.name in table.blank_to_null:
-        value = F.nullif(value, F.lit(""))
-    if column.name in table.upper:
-        value = F.upper(value)
-    return value.cast(_NARROW.get(column.dataType, column.dataType)).alias(table.rename.get(column.name, column.name))
+def _staged(table: RawTable, column: str, declared: str) -> str:
+    """SQL expression of one staged column."""
+    if column == LOADED_AT:
+        return f"{LOADED_AT} AS _loaded_at"
+    value = f"`{column}`"
+    if column in table.blank_to_null:
+        value = f"nullif({value}, '')"
+    if column in table.upper:
+        value = f"upper({value})"
+    return f"CAST({value} AS {NARROW.get(declared, declared)}) AS `{table.rename.get(column, column)}`"
 
 
 def typed(raw: DataFrame, name: str) -> DataFrame:
     """Rename and cast the columns of source table ``name``."""
     table = RAW_TABLES[name]
-    return raw.select(*[_staged(table, column) for column in table.schema])
+    return raw.selectExpr(*[_staged(table, column, declared) for column, declared in table.types.items()])
 
 
 def stage(raw: DataFrame, name: str) -> DataFrame:

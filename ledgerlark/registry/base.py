@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.staging import typed
 from ledgerlark.registry.bindings import BINDINGS
 from ledgerlark.registry.models import MODELS
 
@@ -24,20 +24,35 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        self._made: dict[str, DataFrame] = {}
+        self.parts: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
+        if name not in self.parts:
             if name in BINDINGS:
                 text = BINDINGS[name]
-                self._made[name] = self.spark.sql(text, **{n: self[n] for n in _NAME.findall(text)})
+                self.parts[name] = self.spark.sql(text, **{n: self[n] for n in _NAME.findall(text)})
             else:
-                self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._made[name]
+                self.parts[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.parts[name]
 
-    def staged(self, binding: str, source: str) -> DataFrame:
-        """Typed rows of a binding that is known to hold one row per key."""
-        return typed(self[binding], source)
+
+@lru_cache(maxsize=4)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The frames of a folder are plans, so queries of one session share them."""
+    return Tables(spark, folder)
+
+
+def part(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Plan ``fn(tables)`` once per folder; the plan is reused, not its rows."""
+
+    @wraps(fn)
+    def planned(t: Tables) -> DataFrame:
+        name = f"{fn.__module__}.{fn.__name__}"
+        if name not in t.parts:
+            t.parts[name] = fn(t)
+        return t.parts[name]
+
+    return planned
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -79,7 +94,7 @@ def query(name: str, oracle: str | None = None):
     """Register ``fn(tables)`` under ``name`` with its checking SQL."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: present(fn(Tables(spark, folder)))
+        QUERIES[name] = lambda spark, folder: present(fn(tables(spark, folder)))
         if oracle is not None:
             ORACLES[name] = compose(oracle)
         return fn

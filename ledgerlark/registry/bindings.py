@@ -76,7 +76,7 @@ BINDINGS = {
     "raw_items": """
         SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS product_id,
                CAST(l_quantity AS INT) AS quantity,
-               CAST(CAST(floor(round(l_extendedprice * 100) / l_quantity) AS BIGINT)
+               CAST(CAST(CAST(floor(floor(l_extendedprice * 100 + 5e-1) / l_quantity) AS BIGINT) AS DECIMAL(10,0))
                     * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS unit_price,
                CAST(l_shipdate AS TIMESTAMP) AS _fivetran_synced
         FROM {lineitem}""",

@@ -9,11 +9,12 @@ from ledgerlark.operators.incremental import build_visits
 from ledgerlark.operators.joins import with_known_size
 from ledgerlark.operators.staging import typed
 from ledgerlark.operators.taxonomy import DEFAULT_RULES, array_match, load_rules, rules_frame, session_subject
-from ledgerlark.registry.base import Tables, query
+from ledgerlark.registry.base import Tables, part, query
 from ledgerlark.registry.models import big, dbl, div
 from ledgerlark.registry.revenue import fct, hierarchy
 
 
+@part
 def combined(t: Tables):
     return mkt.marketing_combined(
         mkt.google_performance(t["raw_gads_clicks"], hierarchy(t)),

@@ -5,6 +5,7 @@ Ids are BIGINT, because a 32-bit id runs out long before the data does.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -24,6 +25,12 @@ class RawTable:
     warn_hours: int = 24
     error_hours: int = 48
 
+    @property
+    def types(self) -> dict[str, str]:
+        """Column name -> declared type, the load timestamp included."""
+        parts = re.split(r",\s*(?![^(]*\))", f"{self.columns}, {LOADED_AT} timestamp")
+        return dict(part.split(" ", 1) for part in parts)
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(f"{self.columns}, {LOADED_AT} timestamp")
