@@ -57,7 +57,7 @@ class UpsertTable:
 
     def _batches(self) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(stored).option("recursiveFileLookup", "false").parquet(self.path)
+        return self.spark.read.schema(stored).parquet(self.path)
 
     def write_batch(self, batch: DataFrame, batch_id: int, newest: list[Column]) -> None:
         unique = latest_per_key(batch.select(*self.schema.names), self.keys, newest)
@@ -66,8 +66,10 @@ class UpsertTable:
     def read(self) -> DataFrame:
         return latest_per_key(self._batches(), self.keys, [F.col("batch_id")]).select(*self.schema.names)
 
-    def high_water_mark(self, column: str):
-        return high_water_mark(self._batches(), column)
+    def high_water_mark(self, column: str, before: int | None = None):
+        """Newest value stored, optionally only by batches before a given one."""
+        stored = self._batches() if before is None else self._batches().where(F.col("batch_id") < before)
+        return high_water_mark(stored, column)
 
     def compact(self, path: str) -> UpsertTable:
         """Write the merged rows to ``path`` as batch -1 of a new table."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.dedup import conflicting_rows, duplicate_keys
 from ledgerlark.operators.joins import splittable_join
+from ledgerlark.sources.files import write_table
 
 ERROR, WARN = "error", "warn"
 
@@ -189,8 +190,7 @@ def stored_failures(tables: dict[str, DataFrame], checks: list[Check]) -> DataFr
 
 def store_failures(tables: dict[str, DataFrame], checks: list[Check], path: str) -> DataFrame:
     """Keep the violating rows, one partition folder per check."""
-    stored_failures(tables, checks).write.mode("overwrite").partitionBy("check").parquet(path)
-    return next(iter(tables.values())).sparkSession.read.parquet(path)
+    return write_table(stored_failures(tables, checks), path, ("check",))
 
 
 def publish_if_clean(df: DataFrame, name: str, checks: list[Check], path: str, others=None) -> tuple[bool, list]:

@@ -34,9 +34,9 @@ DEFAULT_RULES = (
 )
 
 UNMATCHED = "Other"
-# Above this many rules one CASE branch per rule makes the generated code too
-# large; classification then searches an array of rules instead.
-MAX_CASE_RULES = 200
+# Rules per CASE: a longer taxonomy is searched block by block, which keeps the
+# generated methods small enough to be compiled.
+RULES_PER_CASE = 200
 # A taxonomy is edited by hand; a table beyond this size is not one.
 MAX_RULES = 10_000
 
@@ -54,48 +54,36 @@ def most_specific_first(rules: Iterable[Rule]) -> list[Rule]:
     return sorted(rules, key=lambda rule: (-len(rule.pattern), rule.pattern))
 
 
-def case_match(subject: Column, rules: Iterable[Rule]) -> Column:
-    """Struct(channel, subchannel) of the first matching rule, else NULL.
-
-    One CASE over literal patterns: each is compiled once per task and the
-    branches short-circuit, so there is neither a join nor a window.
-    """
+def _case(subject: Column, rules: list[Rule]) -> Column:
     match = None
-    for rule in most_specific_first(rules):
+    for rule in rules:
         answer = F.struct(F.lit(rule.channel).alias("channel"), F.lit(rule.subchannel).alias("subchannel"))
         hit = subject.rlike(rule.pattern)
         match = F.when(hit, answer) if match is None else match.when(hit, answer)
-    return match if match is not None else F.lit(None).cast("struct<channel:string,subchannel:string>")
-
-
-def array_match(subject: Column, rules: Iterable[Rule]) -> Column:
-    """Same answer as :func:`case_match`, by searching an array of rules."""
-    ordered = F.array(
-        *[
-            F.struct(
-                F.lit(rule.pattern).alias("pattern"),
-                F.lit(rule.channel).alias("channel"),
-                F.lit(rule.subchannel).alias("subchannel"),
-            )
-            for rule in most_specific_first(rules)
-        ]
-    )
-    hits = F.filter(ordered, lambda rule: F.rlike(subject, rule["pattern"]))
-    first = F.try_element_at(hits, F.lit(1))
-    return F.when(
-        first.isNotNull(), F.struct(first["channel"].alias("channel"), first["subchannel"].alias("subchannel"))
-    )
+    return match
+
+
+def first_match(subject: Column, rules: Iterable[Rule], per_case: int = RULES_PER_CASE) -> Column:
+    """Struct(channel, subchannel) of the most specific matching rule, else NULL.
+
+    A CASE over literal patterns, longest first: each pattern is compiled once
+    per task and the branches short-circuit, so there is neither a join of rows
+    with rules nor a window to pick the winner.
+    """
+    ordered = most_specific_first(rules)
+    if not ordered:
+        return F.lit(None).cast("struct<channel:string,subchannel:string>")
+    return F.coalesce(*[_case(subject, ordered[i : i + per_case]) for i in range(0, len(ordered), per_case)])
 
 
-def classify(df: DataFrame, subject: Column, rules: Iterable[Rule] = DEFAULT_RULES) -> DataFrame:
+def classify(
+    df: DataFrame, subject: Column, rules: Iterable[Rule] = DEFAULT_RULES, per_case: int = RULES_PER_CASE
+) -> DataFrame:
     """Add ``channel_grouping`` ('Other' when nothing matches) and ``subchannel``."""
-    rules = list(rules)
-    match = case_match if len(rules) <= MAX_CASE_RULES else array_match
-    return (
-        df.withColumn("__match", match(subject, rules))
-        .withColumn("channel_grouping", F.coalesce(F.col("__match.channel"), F.lit(UNMATCHED)))
-        .withColumn("subchannel", F.col("__match.subchannel"))
-        .drop("__match")
+    return df.withColumn("__match", first_match(subject, rules, per_case)).select(
+        *df.columns,
+        F.coalesce("__match.channel", F.lit(UNMATCHED)).alias("channel_grouping"),
+        F.col("__match.subchannel").alias("subchannel"),
     )
 
 

@@ -155,7 +155,7 @@ def visits_stream(t: Tables):
     table = inc.UpsertTable(
         t.spark, scratch_path(t.spark, "fct-visits"), stream.visits_schema(lookup), ["visit_id"]
     )
-    job = stream.load_visits(source, lookup, table, scratch_path(t.spark, "visits-progress"), "40 days")
+    job = stream.load_visits(source, lookup, table, scratch_path(t.spark, "visits-progress"))
     job.awaitTermination()
     return table.read().drop("_loaded_at")
 

@@ -8,7 +8,7 @@ from ledgerlark.operators import marketing as mkt
 from ledgerlark.operators.incremental import build_visits
 from ledgerlark.operators.joins import with_known_size
 from ledgerlark.operators.staging import typed
-from ledgerlark.operators.taxonomy import DEFAULT_RULES, array_match, load_rules, rules_frame, session_subject
+from ledgerlark.operators.taxonomy import classify, load_rules, rules_frame, session_subject
 from ledgerlark.registry.base import Tables, part, query
 from ledgerlark.registry.models import big, dbl, div
 from ledgerlark.registry.revenue import fct, hierarchy
@@ -63,17 +63,10 @@ def classify_sessions(t: Tables):
 
 @query("classify_theta", _SESSION)
 def classify_theta(t: Tables):
-    """The form for rule tables too large for one CASE."""
+    """Rules read from a table and searched in blocks, as for a long taxonomy."""
     subject = session_subject(F.col("source"), F.col("medium"), F.col("campaign"))
-    return (
-        t["raw_sessions"]
-        .select("session_id", "source", "medium", "campaign", array_match(subject, DEFAULT_RULES).alias("m"))
-        .select(
-            "session_id", "source", "medium", "campaign",
-            F.coalesce("m.channel", F.lit("Other")).alias("channel_grouping"),
-            F.col("m.subchannel").alias("subchannel"),
-        )
-    )
+    sessions = t["raw_sessions"].select("session_id", "source", "medium", "campaign")
+    return classify(sessions, subject, load_rules(rules_frame(t.spark)), per_case=4)
 
 
 @query(

@@ -30,8 +30,14 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Full-refresh table sink; returns the stored table."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Full-refresh table sink; returns the stored table.
+
+    Rows of a folder are brought together before writing, so there is no file
+    per task and folder; rebalancing also cuts an oversized folder into several
+    tasks, which a plain repartition by column would not.
+    """
+    placed = df.hint("rebalance", *partition_by) if partition_by else df
+    placed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -23,11 +23,6 @@ def visit_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.parquet(path)
 
 
-def drop_redelivered(visits: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """First copy of each visit; the state of a key expires with the watermark."""
-    return visits.withWatermark("visited_at", lateness).dropDuplicatesWithinWatermark(["id"])
-
-
 def visits_schema(hierarchy: DataFrame) -> T.StructType:
     """Columns of the visit fact, taken from an empty build."""
     spark = hierarchy.sparkSession
@@ -36,26 +31,49 @@ def visits_schema(hierarchy: DataFrame) -> T.StructType:
 
 
 def load_visits(
-    stream: DataFrame, hierarchy: DataFrame, table: UpsertTable, checkpoint: str, lateness: str = "1 day"
+    stream: DataFrame,
+    hierarchy: DataFrame,
+    table: UpsertTable,
+    checkpoint: str,
+    lateness: str | None = None,
+    late_path: str | None = None,
 ) -> StreamingQuery:
     """Attribute and upsert every new visit, then stop when the input is drained.
 
-    Rows later than ``lateness`` behind the watermark are dropped by the
-    de-duplication, which is the price of a bounded state.
+    Re-delivered copies are collapsed per batch and replaced across batches by
+    the upsert, so the stream keeps no state and a much-copied visit needs no
+    task of its own. With ``lateness`` (such as '2 hours'), visits that are
+    older than the newest visit of earlier batches by more than that go to
+    ``late_path`` instead of the table.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(build_visits(typed(batch, VISITS), hierarchy), batch_id, [F.col("_loaded_at")])
+        staged = typed(batch, VISITS)
+        # Only earlier batches set the mark: a retried batch must not see itself.
+        mark = table.high_water_mark("visited_at", batch_id) if lateness and batch_id > 0 else None
+        if mark is not None:
+            on_time = F.col("visited_at") > F.lit(mark) - F.expr(f"INTERVAL {lateness}")
+            staged.where(~on_time).write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
+            staged = staged.where(on_time)
+        table.write_batch(build_visits(staged, hierarchy), batch_id, [F.col("_loaded_at")])
 
     return (
-        drop_redelivered(stream, lateness)
-        .writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def deduplicated_within(visits: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """First copy of each visit, for sinks that can only append.
+
+    Keeps the ids of the last ``lateness`` of event time as state; rows behind
+    the watermark are dropped.
+    """
+    return visits.withWatermark("visited_at", lateness).dropDuplicatesWithinWatermark(["id"])
+
+
 def land_raw(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the raw deliveries; each batch owns one folder and may be retried."""
 

@@ -70,6 +70,33 @@ def test_streamed_visits_are_not_doubled(spark, frame, rows):
     assert rows(table.read(), "visit_id") == [(1,), (2,), (3,)]
 
 
+def test_late_visits_go_to_a_side_folder(spark, frame, rows):
+    source, late, lookup = scratch_path(spark, "in"), scratch_path(spark, "late"), hierarchy(frame)
+    table = inc.UpsertTable(spark, scratch_path(spark, "fct"), stream.visits_schema(lookup), ["visit_id"])
+    progress = scratch_path(spark, "progress")
+    for batch in ([visit(1, 5)], [visit(2, 4), visit(3, 1), visit(4, 6)]):
+        spark.createDataFrame(batch, RAW.schema).write.mode("append").parquet(source)
+        job = stream.load_visits(stream.visit_stream(spark, source), lookup, table, progress, "2 hours", late)
+        job.awaitTermination()
+    assert rows(table.read(), "visit_id") == [(1,), (2,), (4,)]
+    assert rows(spark.read.parquet(late), "id") == [(3,)]
+
+
+def test_append_only_stream_drops_copies(spark):
+    source, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    spark.createDataFrame([visit(1, 1), visit(1, 1), visit(2, 2)], RAW.schema).write.parquet(source)
+    job = (
+        stream.deduplicated_within(stream.visit_stream(spark, source))
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    job.awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_a_later_conflict_withdraws_a_visit(spark, rows):
     source, store, progress = (scratch_path(spark, n) for n in ("in", "store", "progress"))
     spark.createDataFrame([visit(1, 1), visit(2, 2)], RAW.schema).write.parquet(source)

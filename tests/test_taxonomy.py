@@ -28,14 +28,13 @@ def test_campaigns(frame):
     assert got.where("channel_grouping <> expected").count() == 0
 
 
-@pytest.mark.parametrize("match", [tax.case_match, tax.array_match])
-def test_sessions(frame, match):
+@pytest.mark.parametrize("per_case", [1, 4, 200])
+def test_sessions(frame, per_case):
     df = frame([(*s, c, sub) for s, c, sub in SESSIONS], "s string, m string, c string, ch string, sub string")
     subject = tax.session_subject(F.col("s"), F.col("m"), F.col("c"))
-    got = df.select("ch", "sub", match(subject, tax.DEFAULT_RULES).alias("hit")).collect()
-    assert [(r.ch, r.sub) for r in got] == [
-        (r.hit.channel if r.hit else "Other", r.hit.subchannel if r.hit else None) for r in got
-    ]
+    got = df.select("ch", "sub", tax.first_match(subject, tax.DEFAULT_RULES, per_case).alias("hit")).collect()
+    for row in got:
+        assert (row.ch, row.sub) == ((row.hit.channel, row.hit.subchannel) if row.hit else ("Other", None))
 
 
 def test_session_subject_keeps_separators_and_case(frame):
@@ -48,11 +47,13 @@ def test_no_rules_means_other(frame, rows):
     assert rows(df) == [("a", "Other", None)]
 
 
-def test_many_rules_use_the_array_form(frame):
-    rules = [tax.Rule(f"key{i:04d}", f"c{i}", f"s{i}") for i in range(tax.MAX_CASE_RULES + 50)]
-    df = frame([("x-key0007-y",), ("none",)], "n string")
+def test_long_taxonomy(frame):
+    rules = [tax.Rule(f"key{i:04d}", f"c{i}", f"s{i}") for i in range(2 * tax.RULES_PER_CASE + 50)]
+    df = frame([("x-key0007-y",), ("key0444",), ("none",)], "n string")
     got = tax.classify(df, F.col("n"), rules).collect()
-    assert [(r.channel_grouping, r.subchannel) for r in got] == [("c7", "s7"), ("Other", None)]
+    assert [(r.channel_grouping, r.subchannel) for r in got] == [
+        ("c7", "s7"), ("c444", "s444"), ("Other", None)
+    ]
 
 
 def test_rules_round_trip_and_bound(spark, monkeypatch):
