@@ -47,17 +47,15 @@ def customer_demographics(customers: DataFrame) -> DataFrame:
     A window per region would put each region into one task. The counts are
     small tables, so they are computed once and joined back.
     """
-    per_country = with_known_size(
-        customers.groupBy("country_code", "region").agg(F.count(F.lit(1)).alias("customers"))
+    counts = with_known_size(customers.groupBy("country_code", "region").agg(F.count(F.lit(1)).alias("customers")))
+    in_country = counts.groupBy(F.col("country_code").alias("__country")).agg(
+        F.sum("customers").alias("customers_in_country")
     )
-    in_country = per_country.groupBy("country_code").agg(F.sum("customers").alias("customers_in_country"))
-    in_region = per_country.groupBy("region").agg(F.sum("customers").alias("customers_in_region"))
-    country, region = in_country["country_code"], in_region["region"]
+    in_region = counts.groupBy(F.col("region").alias("__region")).agg(F.sum("customers").alias("customers_in_region"))
     return (
-        customers.join(in_country, customers["country_code"].eqNullSafe(country), "left")
-        .drop(country)
-        .join(in_region, customers["region"].eqNullSafe(region), "left")
-        .drop(region)
+        customers.join(in_country, F.col("country_code").eqNullSafe(F.col("__country")), "left")
+        .join(in_region, F.col("region").eqNullSafe(F.col("__region")), "left")
+        .drop("__country", "__region")
     )
 
 

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.joins import all_of, splittable_join
+from ledgerlark.operators.joins import all_of, splittable_join, with_known_size
 
 LOAD_COLUMNS = ("_fivetran_synced",)
 
@@ -56,34 +56,79 @@ def _versions(df: DataFrame, keys: list[str], ignore: tuple[str, ...]) -> DataFr
     )
 
 
+_CONFLICT = "NOT (__low <=> __high)"
+
+
+def _agreed(df: DataFrame, keys: list[str], ignore: tuple[str, ...]) -> DataFrame:
+    """One row per complete key whose copies agree, with the newest load metadata."""
+    compared, load = _split_columns(df, keys, ignore)
+    return (
+        _versions(df, keys, ignore)
+        .where("__low <=> __high")
+        .select(
+            *[
+                F.col(f"__low.`{c}`").alias(c) if c in compared
+                else F.col(f"__load.`{c}`").alias(c) if c in load
+                else F.col(c)
+                for c in df.columns
+            ]
+        )
+    )
+
+
+def dedup_in_one_pass(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
+    """:func:`dedup_source` as a single lazy aggregate over whole rows.
+
+    Right when most keys repeat or ``df`` is expensive to compute: it is read
+    once (the NULL-key filter is pushed down), but every row is shuffled.
+    """
+    return _agreed(df, keys, ignore).unionByName(df.where(_any_null(keys)))
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Complete keys that occur more than once, measured.
+
+    Only key columns are read and shuffled. The list is usually short, and its
+    measured size lets the planner broadcast it, so that rows whose key occurs
+    once are never shuffled. A long list is joined by shuffling instead.
+    """
+    return with_known_size(duplicate_keys(df, keys).select(*keys))
+
+
+def _split(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key occurs once or is incomplete, and rows of repeated keys."""
+    repeated = repeated_keys(df, keys)
+    once = splittable_join(df, repeated, keys, "left_anti").select(*df.columns)
+    copies = splittable_join(df, repeated, keys, "left_semi").select(*df.columns)
+    return once, copies
+
+
 def dedup_source(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """One row per key when all copies agree, none when they conflict.
 
     Copies are compared on every column outside ``ignore``; the newest load
     metadata is kept. Rows with a NULL key part pass through untouched so that
     not-null checks downstream still see them.
+
+    Re-deliveries are the exception, so the repeated keys are found first, from
+    the key columns alone. All other rows stay where they are, and columns that
+    nobody asks for are not even read for them.
     """
-    compared, load = _split_columns(df, keys, ignore)
-    single = _versions(df, keys, ignore).where(F.col("__low").eqNullSafe(F.col("__high")))
-    kept = single.select(
-        *[
-            F.col(c) if c not in compared + load
-            else F.col(f"__low.`{c}`").alias(c) if c in compared
-            else F.col(f"__load.`{c}`").alias(c)
-            for c in df.columns
-        ]
-    )
-    return kept.unionByName(df.where(_any_null(keys)))
+    once, copies = _split(df, keys)
+    return once.unionByName(_agreed(copies, keys, ignore))
 
 
 def conflicting_keys(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Keys that carry two or more different versions."""
-    return _versions(df, keys, ignore).where(~F.col("__low").eqNullSafe(F.col("__high"))).select(*keys)
+    _, copies = _split(df, keys)
+    return _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
 
 
 def conflicting_rows(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Every row behind a conflicting key: the quarantine table of a source."""
-    return splittable_join(df, conflicting_keys(df, keys, ignore), keys, "left_semi").select(*df.columns)
+    _, copies = _split(df, keys)
+    conflicts = _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
+    return splittable_join(copies, conflicts, keys, "left_semi").select(*df.columns)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,7 +140,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def duplicate_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row behind a duplicated key, identical copies included."""
-    return splittable_join(df, duplicate_keys(df, keys).select(*keys), keys, "left_semi").select(*df.columns)
+    return _split(df, keys)[1]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -113,11 +158,12 @@ def quarantine_report(sources: dict[str, tuple[DataFrame, list[str]]], ignore=LO
     """Per source: keys re-delivered, keys in conflict, rows held back."""
     reports = []
     for name, (df, keys) in sources.items():
-        conflict = ~F.col("__low").eqNullSafe(F.col("__high"))
+        _, copies = _split(df, keys)
+        conflict = F.expr(_CONFLICT)
         reports.append(
-            _versions(df, keys, ignore)
+            _versions(copies, keys, ignore)
             .agg(
-                F.count(F.when(F.col("__rows") > 1, 1)).alias("duplicate_keys"),
+                F.count(F.lit(1)).alias("duplicate_keys"),
                 F.count(F.when(conflict, 1)).alias("conflicting_keys"),
                 F.coalesce(F.sum(F.when(conflict, F.col("__rows"))), F.lit(0)).alias("conflicting_rows"),
             )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.operators.dedup import latest_per_key
+from ledgerlark.operators.joins import splittable_join, with_known_size
 from ledgerlark.operators.revenue import attribute_clicks
 from ledgerlark.sources.files import high_water_mark, newer_than
 
@@ -36,11 +37,13 @@ def new_visits(visits: DataFrame, target: DataFrame | None, lateness: str | None
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
     """Rows of ``target`` replaced by ``batch`` on ``keys``, plus the new keys.
 
-    One aggregate over both sides: the batch outranks the target, and within
-    the batch the greatest ``newest`` wins.
+    Within the batch the greatest ``newest`` wins. The batch keys are measured:
+    a batch that is small next to the target is broadcast, and the target is
+    then filtered where it lies.
     """
-    ranked = target.withColumn("__batch", F.lit(0)).unionByName(batch.withColumn("__batch", F.lit(1)))
-    return latest_per_key(ranked, keys, [F.col("__batch"), *newest]).drop("__batch")
+    latest = latest_per_key(batch, keys, newest)
+    replaced = with_known_size(latest.select(*keys))
+    return splittable_join(target, replaced, keys, "left_anti").select(*target.columns).unionByName(latest)
 
 
 class UpsertTable:

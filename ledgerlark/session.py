@@ -5,16 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time work: it sizes reduce partitions, turns a
 # join into a broadcast once the true size is known, and splits skewed join
-# partitions even where that costs another exchange further up.
+# partitions even where that costs another exchange further up. One build
+# compiles several hundred stages; the default cache of 100 would forget them
+# between queries.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -49,7 +52,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df, name: str):
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
