@@ -13,6 +13,11 @@ from ledgerlark.functions.money import money_sum, safe_divide
 from ledgerlark.operators.joins import splittable_join
 from ledgerlark.operators.taxonomy import DEFAULT_RULES, Rule, campaign_subject, classify, session_subject
 
+# The verdicts, and the net return from which each applies.
+NOT_ATTRIBUTABLE = "not attributable (no click id)"
+VERDICTS = ((1.5, "scale up"), (1.0, "profitable"))
+LOSING = "losing money after costs"
+
 _PERFORMANCE = (
     "platform", "campaign_id", "campaign_name", "ad_id", "ad_name", "date", "impressions", "clicks", "cost",
     "conversions",
@@ -170,12 +175,10 @@ def agg_channel(marketing: DataFrame, fct: DataFrame, channels: DataFrame) -> Da
 
 def channel_performance(channel: DataFrame) -> DataFrame:
     """Which channels pay for themselves, after returns and cost of goods."""
-    verdict = (
-        F.when(F.col("attributed_gross_revenue") == 0, "not attributable (no click id)")
-        .when(F.col("net_roas") >= 1.5, "scale up")
-        .when(F.col("net_roas") >= 1.0, "profitable")
-        .otherwise("losing money after costs")
-    )
+    verdict = F.when(F.col("attributed_gross_revenue") == 0, NOT_ATTRIBUTABLE)
+    for at_least, label in VERDICTS:
+        verdict = verdict.when(F.col("net_roas") >= at_least, label)
+    verdict = verdict.otherwise(LOSING)
     return channel.select(
         "channel_grouping",
         F.round("spend", 2).alias("spend"),

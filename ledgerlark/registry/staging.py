@@ -48,20 +48,15 @@ def stg_payments(t: Tables):
     return stage(t["raw_payments_redelivered"], "stripe_payments")
 
 
-_VERSION = """md5(concat_ws('-', CAST(id AS VARCHAR), CAST(visited_at AS VARCHAR),
-    COALESCE(CAST(customer_id AS VARCHAR), '?'), COALESCE(gclid, '?'), landing_page, device_category))"""
-
-
 @query(
     "dedup_source",
-    f"""SELECT id, visited_at, customer_id, gclid, landing_page, device_category, _fivetran_synced
-        FROM (SELECT s.*, ROW_NUMBER() OVER (PARTITION BY s.id ORDER BY s._fivetran_synced DESC) AS rn
-              FROM raw_visits_redelivered s
-              JOIN (SELECT id FROM raw_visits_redelivered WHERE id IS NOT NULL
-                    GROUP BY id HAVING COUNT(DISTINCT {_VERSION}) = 1) k ON s.id = k.id)
-        WHERE rn = 1
-        UNION ALL
-        SELECT * FROM raw_visits_redelivered WHERE id IS NULL""",
+    """SELECT id, any_value(visited_at) AS visited_at, any_value(customer_id) AS customer_id,
+              any_value(gclid) AS gclid, any_value(landing_page) AS landing_page,
+              any_value(device_category) AS device_category, max(_fivetran_synced) AS _fivetran_synced
+       FROM raw_visits_redelivered WHERE id IS NOT NULL GROUP BY id
+       HAVING count(DISTINCT (visited_at, customer_id, gclid, landing_page, device_category)) = 1
+       UNION ALL
+       SELECT * FROM raw_visits_redelivered WHERE id IS NULL""",
 )
 def dedup_source(t: Tables):
     return dedup.dedup_source(t["raw_visits_redelivered"], ["id"])
