@@ -95,7 +95,7 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return with_known_size(duplicate_keys(df, keys).select(*keys))
 
 
-def _split(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_repeated(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose key occurs once or is incomplete, and rows of repeated keys."""
     repeated = repeated_keys(df, keys)
     once = splittable_join(df, repeated, keys, "left_anti").select(*df.columns)
@@ -114,19 +114,19 @@ def dedup_source(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_
     the key columns alone. All other rows stay where they are, and columns that
     nobody asks for are not even read for them.
     """
-    once, copies = _split(df, keys)
+    once, copies = split_repeated(df, keys)
     return once.unionByName(_agreed(copies, keys, ignore))
 
 
 def conflicting_keys(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Keys that carry two or more different versions."""
-    _, copies = _split(df, keys)
+    _, copies = split_repeated(df, keys)
     return _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
 
 
 def conflicting_rows(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Every row behind a conflicting key: the quarantine table of a source."""
-    _, copies = _split(df, keys)
+    _, copies = split_repeated(df, keys)
     conflicts = _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
     return splittable_join(copies, conflicts, keys, "left_semi").select(*df.columns)
 
@@ -140,7 +140,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def duplicate_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row behind a duplicated key, identical copies included."""
-    return _split(df, keys)[1]
+    return split_repeated(df, keys)[1]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -154,11 +154,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.groupBy(*keys).agg(newest).select(*keys, "__newest.*").select(*df.columns)
 
 
+def newest_version(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """:func:`latest_per_key` for rows to be merged: a row without a key matches nothing and stays."""
+    return latest_per_key(df.where(_no_null(keys)), keys, order).unionByName(df.where(_any_null(keys)))
+
+
 def quarantine_report(sources: dict[str, tuple[DataFrame, list[str]]], ignore=LOAD_COLUMNS) -> DataFrame:
     """Per source: keys re-delivered, keys in conflict, rows held back."""
     reports = []
     for name, (df, keys) in sources.items():
-        _, copies = _split(df, keys)
+        _, copies = split_repeated(df, keys)
         conflict = F.expr(_CONFLICT)
         reports.append(
             _versions(copies, keys, ignore)

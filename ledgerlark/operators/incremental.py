@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.dedup import latest_per_key
+from ledgerlark.operators.dedup import latest_per_key, newest_version, split_repeated
 from ledgerlark.operators.joins import splittable_join, with_known_size
 from ledgerlark.operators.revenue import attribute_clicks
 from ledgerlark.sources.files import high_water_mark, newer_than
@@ -41,7 +41,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], newest: list[Co
     a batch that is small next to the target is broadcast, and the target is
     then filtered where it lies.
     """
-    latest = latest_per_key(batch, keys, newest)
+    latest = newest_version(batch, keys, newest)
     replaced = with_known_size(latest.select(*keys))
     return splittable_join(target, replaced, keys, "left_anti").select(*target.columns).unionByName(latest)
 
@@ -63,11 +63,14 @@ class UpsertTable:
         return self.spark.read.schema(stored).parquet(self.path)
 
     def write_batch(self, batch: DataFrame, batch_id: int, newest: list[Column]) -> None:
-        unique = latest_per_key(batch.select(*self.schema.names), self.keys, newest)
+        unique = newest_version(batch.select(*self.schema.names), self.keys, newest)
         unique.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self) -> DataFrame:
-        return latest_per_key(self._batches(), self.keys, [F.col("batch_id")]).select(*self.schema.names)
+        """The merged table. Keys held by a single batch are read in place."""
+        once, copies = split_repeated(self._batches(), self.keys)
+        merged = latest_per_key(copies, self.keys, [F.col("batch_id")])
+        return once.unionByName(merged).select(*self.schema.names)
 
     def high_water_mark(self, column: str, before: int | None = None):
         """Newest value stored, optionally only by batches before a given one."""

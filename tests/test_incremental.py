@@ -52,6 +52,16 @@ def test_upsert_table_survives_a_retried_batch(spark, rows):
     assert rows(smaller.read())[0] == (1, "z", 3)
 
 
+def test_rows_without_a_key_are_kept(spark, frame, rows):
+    old = frame([(None, "a", 1)], "id bigint, v string, t int")
+    new = frame([(None, "b", 1), (None, "c", 1), (1, "d", 1)], "id bigint, v string, t int")
+    assert len(rows(inc.upsert(old, new, ["id"], [F.col("t")]))) == 4
+    table = inc.UpsertTable(spark, scratch_path(spark, "t"), old.schema, ["id"])
+    table.write_batch(old, 0, [F.col("t")])
+    table.write_batch(new, 1, [F.col("t")])
+    assert len(rows(table.read())) == 4
+
+
 def test_streamed_visits_are_not_doubled(spark, frame, rows):
     source, lookup = scratch_path(spark, "in"), hierarchy(frame)
     table = inc.UpsertTable(spark, scratch_path(spark, "fct"), stream.visits_schema(lookup), ["visit_id"])
