@@ -12,6 +12,7 @@ from ledgerlark.operators.joins import splittable_join
 
 def allocate_proportional(
     rows: DataFrame,
+    totals: DataFrame,
     group: list[str],
     weight: str,
     total: str,
@@ -19,23 +20,26 @@ def allocate_proportional(
     into: str = "allocated",
     places: int = 2,
 ) -> DataFrame:
-    """Split ``total`` by ``weight``; the last row takes the rounding residual.
+    """Split each group's ``total`` by ``weight``; the last row takes the rounding residual.
 
-    ``total`` is constant within a group and ``order`` must identify a row in
-    it. Group sums are aggregates joined back rather than windows, so a group
-    of any size is summed in parallel and its rows stay spread over tasks.
+    ``totals`` holds one row per group and ``order`` must identify a row within
+    its group. Everything a row needs to know about its group is first brought
+    into one row per group, from the key and weight columns alone, so whole rows
+    meet their group once. These are aggregates joined back rather than windows:
+    a group of any size is summed in parallel and its rows stay spread over tasks.
     """
     amount = T.DecimalType(18, places)
     key: Column = F.struct(*[F.col(c) for c in order])
-    sums = rows.groupBy(*group).agg(
-        F.sum(weight).alias("__weights"), F.max(key).alias("__last"), F.max(total).alias("__total")
-    )
-    share = F.col("__total").cast("double") * F.col(weight).cast("double")
-    rounded = splittable_join(rows, sums, group).withColumn(
-        "__share", safe_divide(share, F.col("__weights")).cast(amount)
-    )
-    residual = rounded.groupBy(*group).agg(
-        (F.max("__total") - F.sum("__share")).cast(amount).alias("__residual")
-    )
-    value = F.when(key == F.col("__last"), F.col("__share") + F.col("__residual")).otherwise(F.col("__share"))
-    return splittable_join(rounded, residual, group).select(*rows.columns, value.cast(amount).alias(into))
+    sums = rows.groupBy(*group).agg(F.sum(weight).alias("__weights"), F.max(key).alias("__last"))
+    sums = sums.join(totals.select(*group, F.col(total).alias("__total")), group, "left")
+
+    def share() -> Column:
+        weighted = F.col("__total").cast("double") * F.col(weight).cast("double")
+        return safe_divide(weighted, F.col("__weights")).cast(amount)
+
+    shares = splittable_join(rows.select(*group, weight), sums.drop("__last"), group).withColumn("__share", share())
+    handed_out = shares.groupBy(*group).agg(F.sum("__share").alias("__handed_out"))
+    per_group = sums.join(handed_out, group)
+    residual = (F.col("__total") - F.col("__handed_out")).cast(amount)
+    value = F.when(key == F.col("__last"), share() + residual).otherwise(share())
+    return splittable_join(rows, per_group, group).select(*rows.columns, value.cast(amount).alias(into))

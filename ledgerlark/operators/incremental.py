@@ -72,9 +72,9 @@ class UpsertTable:
         merged = latest_per_key(copies, self.keys, [F.col("batch_id")])
         return once.unionByName(merged).select(*self.schema.names)
 
-    def high_water_mark(self, column: str, before: int | None = None):
-        """Newest value stored, optionally only by batches before a given one."""
-        stored = self._batches() if before is None else self._batches().where(F.col("batch_id") < before)
+    def high_water_mark(self, column: str, batches: Column | None = None):
+        """Newest value stored, optionally only in some batches (a condition on ``batch_id``)."""
+        stored = self._batches() if batches is None else self._batches().where(batches)
         return high_water_mark(stored, column)
 
     def compact(self, path: str) -> UpsertTable:

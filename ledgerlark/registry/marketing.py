@@ -53,7 +53,9 @@ def classify_campaigns(t: Tables):
     return mkt.classify_campaigns(combined(t))
 
 
-_SESSION = "SELECT s.session_id, s.source, s.medium, s.campaign, c.channel_grouping, c.subchannel FROM raw_sessions s JOIN m_session_channels c ON s.session_id = c.session_id"
+_SESSION = """
+    SELECT s.session_id, s.source, s.medium, s.campaign, c.channel_grouping, c.subchannel
+    FROM raw_sessions s JOIN m_session_channels c ON s.session_id = c.session_id"""
 
 
 @query("classify_sessions", _SESSION)

@@ -8,6 +8,8 @@ from ledgerlark.operators import dedup, privacy, reconcile
 from ledgerlark.operators.quality import unique_combination_of_columns
 from ledgerlark.registry.base import Tables, query
 from ledgerlark.registry.quality import KEYS
+from ledgerlark.session import scratch_path
+from ledgerlark.sources.files import freeze
 
 _EXCEPT = "SELECT * FROM {a} EXCEPT ALL SELECT * FROM {b}"
 _PARTS = _EXCEPT.format(a="raw_prices_first", b="raw_prices_second")
@@ -32,6 +34,23 @@ def table_diff(t: Tables):
     return reconcile.diff_tables(before, after)
 
 
+@query(
+    "frozen_diff",
+    f"""SELECT 'orders' AS "table", (SELECT COUNT(*) FROM raw_orders) AS rows_a,
+               (SELECT COUNT(*) FROM raw_orders_faulty) AS rows_b,
+               (SELECT COUNT(*) FROM ({_EXCEPT.format(a="raw_orders", b="raw_orders_faulty")})) AS only_a,
+               (SELECT COUNT(*) FROM ({_EXCEPT.format(a="raw_orders_faulty", b="raw_orders")})) AS only_b,
+               '' AS columns_changed, 'changed' AS status
+        UNION ALL SELECT 'customers', COUNT(*), COUNT(*), 0, 0, '', 'same' FROM customer""",
+)
+def frozen_diff(t: Tables):
+    """Two stored versions of the same views, compared table by table."""
+    clean = {"orders": t["raw_orders"], "customers": t["raw_customers"]}
+    before = freeze(clean, scratch_path(t.spark, "clean"))
+    after = freeze({**clean, "orders": t["raw_orders_faulty"]}, scratch_path(t.spark, "faulty"))
+    return reconcile.diff_tables(before, after)
+
+
 @query(
     "row_diff",
     f"""SELECT 'a' AS only_in, COUNT(*) AS copies, id, CAST(price AS DOUBLE) AS price FROM ({_PARTS}) GROUP BY id, price

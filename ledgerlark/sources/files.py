@@ -41,6 +41,15 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def freeze(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Store every table of a version below ``folder``, views included.
+
+    A later change of the inputs cannot alter a frozen version, so two of them
+    can be compared.
+    """
+    return {name: write_table(df, f"{folder.rstrip('/')}/{name}") for name, df in tables.items()}
+
+
 def high_water_mark(target: DataFrame, column: str) -> datetime | None:
     """Newest value already loaded: a scan of one column, combined per task."""
     return target.agg(F.max(column)).first()[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,15 +49,24 @@ def load_visits(
     ``late_path`` instead of the table.
     """
 
+    # Newest visit before each batch. Only earlier batches count, so that a
+    # retried batch does not see itself. The whole table is scanned once per
+    # start; from then on each batch adds its own newest visit.
+    marks: dict[int, datetime | None] = {0: None}
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         staged = typed(batch, VISITS)
-        # Only earlier batches set the mark: a retried batch must not see itself.
-        mark = table.high_water_mark("visited_at", batch_id) if lateness and batch_id > 0 else None
+        if lateness and batch_id not in marks:
+            marks[batch_id] = table.high_water_mark("visited_at", F.col("batch_id") < batch_id)
+        mark = marks.get(batch_id)
         if mark is not None:
             on_time = F.col("visited_at") > F.lit(mark) - F.expr(f"INTERVAL {lateness}")
             staged.where(~on_time).write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
             staged = staged.where(on_time)
         table.write_batch(build_visits(staged, hierarchy), batch_id, [F.col("_loaded_at")])
+        if lateness:
+            newest = table.high_water_mark("visited_at", F.col("batch_id") == batch_id)
+            marks[batch_id + 1] = max((m for m in (mark, newest) if m is not None), default=None)
 
     return (
         stream.writeStream.foreachBatch(merge)

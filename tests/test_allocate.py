@@ -4,11 +4,12 @@ from ledgerlark.operators.allocate import allocate_proportional
 
 
 def test_last_row_takes_the_residual(frame, rows):
-    df = frame(
-        [("g", 1, D("1"), D("10.00")), ("g", 2, D("1"), D("10.00")), ("g", 3, D("1"), D("10.00")), ("h", 1, D("5"), D("7.77"))],
-        "g string, n int, w decimal(10,2), total decimal(10,2)",
+    lines = frame(
+        [("g", 1, D("1")), ("g", 2, D("1")), ("g", 3, D("1")), ("h", 1, D("5")), ("i", 1, D("0"))],
+        "g string, n int, w decimal(10,2)",
     )
-    got = allocate_proportional(df, ["g"], "w", "total", ["n"])
+    totals = frame([("g", D("10.00")), ("h", D("7.77")), ("i", D("1.00"))], "g string, total decimal(10,2)")
+    got = allocate_proportional(lines, totals, ["g"], "w", "total", ["n"])
     assert rows(got, "g", "n", "allocated") == [
-        ("g", 1, D("3.33")), ("g", 2, D("3.33")), ("g", 3, D("3.34")), ("h", 1, D("7.77"))
+        ("g", 1, D("3.33")), ("g", 2, D("3.33")), ("g", 3, D("3.34")), ("h", 1, D("7.77")), ("i", 1, None)
     ]

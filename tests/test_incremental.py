@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -84,12 +85,23 @@ def test_late_visits_go_to_a_side_folder(spark, frame, rows):
     source, late, lookup = scratch_path(spark, "in"), scratch_path(spark, "late"), hierarchy(frame)
     table = inc.UpsertTable(spark, scratch_path(spark, "fct"), stream.visits_schema(lookup), ["visit_id"])
     progress = scratch_path(spark, "progress")
+
+    def load():
+        visits = stream.visit_stream(spark, source, files_per_batch=1)
+        stream.load_visits(visits, lookup, table, progress, "2 hours", late).awaitTermination()
+
     for batch in ([visit(1, 5)], [visit(2, 4), visit(3, 1), visit(4, 6)]):
-        spark.createDataFrame(batch, RAW.schema).write.mode("append").parquet(source)
-        job = stream.load_visits(stream.visit_stream(spark, source), lookup, table, progress, "2 hours", late)
-        job.awaitTermination()
+        spark.createDataFrame(batch, RAW.schema).coalesce(1).write.mode("append").parquet(source)
+        load()
     assert rows(table.read(), "visit_id") == [(1,), (2,), (4,)]
     assert rows(spark.read.parquet(late), "id") == [(3,)]
+    # Two batches in one run: the second is measured against the first.
+    for batch in ([visit(5, 20)], [visit(6, 17), visit(7, 19)]):
+        spark.createDataFrame(batch, RAW.schema).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+    load()
+    assert rows(table.read(), "visit_id") == [(1,), (2,), (4,), (5,), (7,)]
+    assert rows(spark.read.parquet(late), "id") == [(3,), (6,)]
 
 
 def test_append_only_stream_drops_copies(spark):

@@ -1,7 +1,6 @@
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlark.operators import quality as q
 from ledgerlark.operators.quality import WARN, Check
