@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,21 +36,23 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g", **e
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the shared checkpoint folder.
 
-    A cluster must set ``spark.checkpoint.dir``. Only a local master, where
-    every task shares one disk, may fall back to a temporary folder.
+    Where ``spark.checkpoint.dir`` is unset the warehouse folder is used, which the
+    tables of the session share as well; no machine-local temporary folder is.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="ledgerlark-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system it lives on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)

@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import TABLES, _sorted
+from ledgerlark.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,11 +18,11 @@ def engine():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, engine, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     ours = _sorted(df.columns, [tuple(r) for r in df.collect()])
-    cursor = engine.execute(oracle_sql()[name])
+    cursor = engine.execute(ORACLES[name])
     theirs = _sorted([d[0] for d in cursor.description], cursor.fetchall())
     assert ours == theirs
     assert ours[1], "an empty result checks nothing"
