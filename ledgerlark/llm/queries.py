@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, licenses, quality, secrets
+from ledgerlark.llm import bpe, licenses, mixing, quality, secrets, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,63 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, cutoffs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.archive_folder(spark)
+    manifest = warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(manifest, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
+ORACLES["op5_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+repeated AS (
+    SELECT body, max(page_id) AS holder FROM payloads WHERE strlen(body) >= 1000 GROUP BY body HAVING count(*) > 1
+)
+SELECT p.page_id, strlen(p.body)::BIGINT AS payload_bytes, sha1(p.body) AS payload_digest,
+       CASE WHEN r.holder <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN r.holder <> p.page_id THEN r.holder END AS refers_to,
+       true AS verified
+FROM payloads p LEFT JOIN repeated r ON p.body = r.body
+"""
+
+
+@query
+def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return mixing.mix(docs)
+
+
+ORACLES["op9_mix"] = """
+WITH sizes AS (
+    SELECT source, sum(length(coalesce(text, ''))) AS size FROM documents GROUP BY source
+),
+rates AS (
+    SELECT source, 1.0::DOUBLE / count(*) OVER () * sum(size) OVER () / size AS rate FROM sizes WHERE size > 0
+),
+steps AS (
+    SELECT source, rate, unnest(range(0, (ceil(rate + 12 * sqrt(rate) + 40))::BIGINT + 1)) AS k FROM rates
+),
+logs AS (
+    SELECT *, sum(ln(greatest(k, 1)::DOUBLE)) OVER (PARTITION BY source ORDER BY k) AS log_factorial FROM steps
+),
+cumulated AS (
+    SELECT source, k, sum(exp(k * ln(rate) - rate - log_factorial)) OVER (PARTITION BY source ORDER BY k) AS upto
+    FROM logs
+),
+drawn AS (
+    SELECT *, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+    FROM documents
+),
+counted AS (
+    SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars,
+           (SELECT count(*) FROM cumulated c WHERE c.source IS NOT DISTINCT FROM d.source AND c.upto <= d.u) AS n
+    FROM drawn d
+    WHERE EXISTS (SELECT 1 FROM rates r WHERE r.source IS NOT DISTINCT FROM d.source)
+),
+copies AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1)) AS copy FROM counted)
+SELECT *, md5('mix-1:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key FROM copies
+"""
