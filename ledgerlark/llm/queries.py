@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, licenses, mixing, quality, secrets, warc
+from ledgerlark.llm import bpe, licenses, mixing, quality, secrets, topk, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,26 @@ counted AS (
 copies AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1)) AS copy FROM counted)
 SELECT *, md5('mix-1:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key FROM copies
 """
+
+
+@query
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op6_topk"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 20 = 0
+),
+ranked AS (
+    SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
