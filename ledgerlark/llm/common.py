@@ -12,13 +12,24 @@ from pyspark.sql.types import StructType
 
 from ledgerlark.session import written
 
-__all__ = ["per_text", "table", "with_struct", "written"]
+__all__ = ["per_text", "sent_along", "table", "with_struct", "written"]
+
+#: Rows of two or three integers that may be sent to every executor: some tens of MB.
+SENT_ROWS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def sent_along(stored: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table of ids, marked to be sent to all executors if it is counted to be small.
+
+    Beyond the bound the join is left to the planner, which shuffles both sides by key.
+    """
+    return F.broadcast(stored) if stored.count() <= (SENT_ROWS if rows is None else rows) else stored
+
+
 def per_text(make: Callable[[], Callable[[bytes], tuple]], returns: str) -> Callable[[Column], Column]:
     """A column function that maps each UTF-8 text to a struct, a batch of rows at a time.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, licenses, mixing, quality, secrets, topk, warc
+from ledgerlark.llm import bpe, licenses, minhash, mixing, quality, secrets, topk, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,41 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, size=3, percent=85)
+
+
+ORACLES["op8_minhash"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b
+),
+named AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN named USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
