@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, licenses, minhash, mixing, quality, secrets, topk, warc
+from ledgerlark.llm import bpe, chat, licenses, minhash, mixing, quality, secrets, topk, urls, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,63 @@ named AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN named USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined"), "confidence"
+    )
+
+
+@query
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.canonical_turns(table(spark, folder, "conversations"), F.col("conv_id"))
+    said = "</s>[INST] ok [/INST]"
+    record = F.to_json(
+        F.struct(
+            F.array(*[F.struct(F.lit(r).alias("role"), F.lit(said).alias("content")) for r in ("user", "assistant")]).alias(
+                "messages"
+            )
+        )
+    )
+    extra = chat.canonical_turns(spark.range(1).select(F.lit(-7).alias("conv_id"), record.alias("record")), F.col("conv_id"), F.col("record"))
+    out = chat.render(rows.unionByName(extra))
+    turns, loss = chat.read_back(F.col("formatted")), chat.trained_text(F.col("segments"))
+    out = out.select("conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"), turns.alias("turns"), loss.alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+# Rendered turns have 25 characters besides role and text, and one for every control string inside.
+ORACLES["op3_chat_format"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+counted AS (
+    SELECT *, len(regexp_extract_all(text, '(<\||</?|\[/?)\\*((im_start|im_end|system|user|assistant|endoftext|begin_of_text|end_of_text|eot_id)\|>|s>|(INST|SYS)\]|SYS>)')) AS n
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(text) + n + 24)::BIGINT AS formatted_chars
+FROM counted GROUP BY conv_id
+"""
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
