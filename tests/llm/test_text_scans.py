@@ -1,0 +1,311 @@
+"""Secret, license and quality scans against plain brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerlark.llm import licenses, quality, queries, secrets
+
+FOLDER = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, spans string"
+ASSIGN = re.compile(
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
+)
+ODD_TEXTS = [
+    None,
+    "",
+    " \n\t ",
+    "é" * 50 + ' token = "abcdef123"',
+    "secret=token:abcdefgh",
+    "passwordpassword=password=password",
+    "API_KEY: 'x' apikey==abcdef token=1234 5",
+    "AKIAAKIA" + "B" * 20 + " AKIA" + "C" * 15,
+    "0123456789abcdef" * 2 + "g" + "a" * 23,
+    "x " * 200_000 + "passwd:abcdefgh",
+    "a" * 300_000,
+]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return dict(duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{FOLDER}/documents.parquet'").fetchall())
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(found)]
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return secrets.Scanner(secrets.RULES, secrets.automata(secrets.RULES))
+
+
+def scanned(scanner, text, kinds=("assign", "access", "hex")):
+    return [(secrets.RULES[k].kind, a, b) for a, k, b in scanner(text.encode()) if secrets.RULES[k].kind in kinds]
+
+
+@pytest.mark.parametrize("text", [t or "" for t in ODD_TEXTS])
+def test_odd_texts(scanner, text):
+    assert scanned(scanner, text) == base_spans(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["password", "PassWd", "secret", "token", "api", "_", "key", "=", ":", " ", '"', "'", "abcdef", "12", "é",
+             "AKIA", "QWERTY0123456789", "0a1b2c3d", "f" * 12, ".", "x", "\n", "ı", "K"]
+        ),
+        max_size=30,
+    ).map("".join)
+)
+def test_spans_are_those_of_the_patterns(scanner, text):
+    assert scanned(scanner, text) == base_spans(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcx", max_size=12))
+def test_any_rule_is_leftmost_and_longest(text):
+    rules = (secrets.Rule("p", "", "(ab|abc|b+c)x?"), secrets.Rule("q", "", "a{2,3}[^a]"))
+    scan = secrets.Scanner(rules, secrets.automata(rules))
+    found = []
+    for k, r in enumerate(rules):
+        at = 0
+        while at < len(text):
+            ends = [e for e in range(at + 1, len(text) + 1) if re.fullmatch(r.body, text[at:e])]
+            if ends:
+                found.append((at, k, max(ends)))
+            at = max(ends) if ends else at + 1
+    assert scan(text.encode()) == sorted(found)
+
+
+def test_more_kinds_and_minimal_states(scanner):
+    text = "-----BEGIN RSA PRIVATE KEY----- eyJhbGci.eyJzdWIi.c2ln ghp_" + "a1" * 20
+    assert scanned(scanner, text, ("pem", "jwt", "hub")) == [("pem", 0, 31), ("jwt", 32, 54), ("hub", 55, 99)]
+    moves, accept = secrets.determined(["ab|cb"], False, False)
+    assert len(accept) == 4  # start, first letter seen, done, dead
+
+
+def test_secret_scan_rows(spark, texts):
+    rows = queries.QUERIES["op2_secret_scan"](spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = ",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(texts[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[0] == k for s in base_spans(texts[r.doc_id])) for k in ("assign", "access", "hex")]
+
+
+def test_secret_frames(spark):
+    rows = [(i, t, "en", "taken") for i, t in enumerate(ODD_TEXTS)] + [(3, ODD_TEXTS[3], None, None), (None, "token=abcdef", None, None)]
+    out = secrets.scan_secrets(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        found = [(s.kind, s.start, s.end) for s in r.spans]
+        assert [s for s in found if s[0] in ("assign", "access", "hex")] == base_spans(r.text or "")
+    assert secrets.scan_secrets(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame(
+        [(1, 'é token="abcdef123456" ok', None, None), (2, None, None, None), (3, "", None, None), (4, "secret=" + "0a" * 20, None, None)],
+        DOCS,
+    )
+    out = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert out == {1: 'é [SECRET]" ok', 2: None, 3: "", 4: "[SECRET]"}
+
+
+# Licenses
+
+
+def license_words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def base_places(words):
+    return sorted(
+        (i, label)
+        for phrase, label in licenses.PHRASES.items()
+        for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    )
+
+
+def check_license(row, text):
+    words = license_words(text)
+    places = base_places(words)
+    assert row.n_words == len(words)
+    assert row.n_base == len(places)
+    assert row.first_word == min((i for i, _ in places), default=None)
+    assert row.last_word == max((i for i, _ in places), default=None)
+    assert list(row.base_labels) == sorted({x for _, x in places})
+    assert set(row.base_labels) <= set(row.labels)
+    assert 0 <= row.score <= 1
+
+
+def test_license_frames(spark):
+    notice = licenses.TEMPLATES["bsd"]
+    texts = [
+        None, "", "...", "MIT License", "cc by cc-by CC  BY gnu general public gnu general public license apache license",
+        "x " * 100_000 + "mit license", "mit " * 50_000, notice, "intro " + notice.replace("retain", "keep") + " end",
+        "ſ K é mit license İ", "the software is free", licenses.TEMPLATES["mit"] + " " + licenses.TEMPLATES["gpl"],
+    ]
+    rows = [(i, t, t) for i, t in enumerate([*texts, texts[3]])] + [(None, "apache license", None)]
+    out = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string, labels string")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        check_license(r, r.text or "")
+    by = {r.doc_id: r for r in out}
+    assert by[7].labels == ["bsd"] and by[7].score == 1.0 and by[7].spans[0].start == 0
+    assert by[8].labels == ["bsd"] and by[8].spans[0].start == 1
+    assert by[10].labels == [] and by[10].score < 0.6
+    assert by[11].labels == ["gpl", "mit"]
+    assert licenses.scan_licenses(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_license_query(spark, texts):
+    for r in queries.QUERIES["op7_license_scan"](spark, FOLDER).collect():
+        words = license_words(texts[r.doc_id])
+        places = base_places(words)
+        assert (r.n_words, r.n_base) == (len(words), len(places))
+        assert r.base_labels == ",".join(sorted({x for _, x in places}))
+
+
+def test_matching_statistics():
+    rng = random.Random(5)
+    for _ in range(30):
+        seqs = [[rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randrange(1, 12))] for _ in range(3)]
+        text = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(40)]
+        inside = {tuple(s[i:j]) for s in seqs for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+        auto = licenses.SuffixAutomaton(seqs)
+        told = {i: (state, size) for i, state, size in auto.walk(text)}
+        for i in range(len(text)):
+            best = max((k for k in range(1, i + 2) if tuple(text[i + 1 - k : i + 1]) in inside), default=0)
+            assert told.get(i, (0, 0))[1] == best
+            if best:
+                stretch = text[i + 1 - best : i + 1]
+                places = [(k, e) for k, s in enumerate(seqs) for e in range(len(s)) if e + 1 >= best and s[e + 1 - best : e + 1] == stretch]
+                assert auto.ends[told[i][0]] == sorted(places)
+
+
+# Quality
+
+
+def plain_features(text):
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+    )
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab é\n\t#\x85\xa0|", max_size=80))
+def test_features(text):
+    assert quality.features_of(text.encode())[:5] == plain_features(text)
+
+
+def test_features_of_long_texts():
+    rng = random.Random(1)
+    text = " ".join(rng.choice("abcde") * rng.randrange(1, 4) for _ in range(3000))
+    wide = " ".join(str(rng.randrange(20_000)) for _ in range(30_000)) + " 1 2 3 4 5 6 1 2 3 4 5"
+    for t in (text, wide, "w " * 20_000):
+        assert quality.features_of(t.encode())[:5] == plain_features(t)
+
+
+def test_binomial_tail():
+    from math import comb
+
+    for n, p in ((10, 0.3), (40, 0.004), (200, 0.05)):
+        for k in range(int(n * p)):
+            exact = sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+            assert quality.binomial_tail(n, k, p) == pytest.approx(exact, rel=1e-9)
+    assert quality.binomial_tail(0, 0, 0.1) == 1.0
+
+
+def test_selection_stops_at_the_first_failure():
+    cutoffs = (3.0, 2.0, 1.0, 0.5)
+    assert quality.selected(2000, [0, 2, 300, 0], cutoffs, 0.02, 0.01) == 2.0
+    assert quality.selected(20, [0, 0, 0, 0], cutoffs, 0.02, 0.01) is None
+    assert quality.selected(0, [0, 0, 0, 0], cutoffs, 0.02, 0.01) is None
+
+
+def test_false_rejections_are_rare_on_new_documents(spark):
+    """Cutoffs chosen on one half reject few good documents of the other half, and real junk."""
+    rng = random.Random(7)
+
+    def doc(i, junk):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        if junk:
+            words = [w + "###" for w in words]
+        elif rng.random() < 0.3:
+            words[rng.randrange(60)] += "#"
+        return (i, " ".join(words), rng.choice(["a", "b"]))
+
+    docs = [doc(i, i % 10 == 0) for i in range(8000)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(4000)], "doc_id bigint, quality int")
+    cutoffs = quality.select_cutoffs(frame, labels)
+    assert {r.stratum for r in cutoffs.collect()} == {"a", "b"}
+    new = quality.judge(frame, cutoffs).where("doc_id >= 4000").select("doc_id", "kept").collect()
+    good = [r.kept for r in new if r.doc_id % 10]
+    junk = [r.kept for r in new if r.doc_id % 10 == 0]
+    assert good.count(False) <= 0.02 * len(good)
+    assert junk.count(True) == 0
+
+
+def test_quality_frames(spark):
+    schema = "doc_id bigint, text string, lang string, kept string, n_words string, symbols string, stratum string"
+    texts = [None, "", "few words", "many different words stand in this text so that it passes all limits", "w " * 50_000]
+    rows = [(i, t, None if i % 2 else "en", "x", "x", "x", "x") for i, t in enumerate([*texts, texts[3]])]
+    docs = spark.createDataFrame([*rows, (None, texts[3], None, "", "", "", "")], schema)
+    labels = spark.createDataFrame([(3, 1), (3, 0), (5, 1), (None, 1), (77, 1), (5, None)], "doc_id bigint, quality int")
+    out = quality.judge(docs, quality.select_cutoffs(docs, labels)).collect()
+    assert len(out) == len(rows) + 1
+    for r in out:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_features(r.text or "")
+        failed = r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
+        assert r.base_failed == failed and r.kept == (not failed)
+        assert r.symbols == ("x" if r.doc_id is not None else "")
+    none, no_labels = spark.createDataFrame([], schema), spark.createDataFrame([], "doc_id bigint, quality int")
+    assert quality.judge(none, quality.select_cutoffs(none, labels)).collect() == []
+    assert quality.judge(docs, quality.select_cutoffs(docs, no_labels)).where("kept").count() == 3
+
+
+def test_quality_query(spark, texts):
+    """Features as counted plainly, and the verdict as plain cutoffs give it."""
+    langs = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{FOLDER}/documents.parquet'").fetchall())
+    good = {k for k, q in duckdb.sql(f"SELECT doc_id, min(quality) FROM '{FOLDER}/labels.parquet' GROUP BY 1").fetchall() if q == 1}
+    features = {i: dict(zip(quality.FEATURE_NAMES, quality.features_of(t.encode()), strict=True)) for i, t in texts.items()}
+    failed = {i: f["n_words"] < 10 or 100 * f["n_repeat_words"] > 20 * f["n_words"] for i, f in features.items()}
+    held = [i for i in good if i in texts and not failed[i]]
+    strata = {langs[i] for i in held}
+
+    def rate(i, r):
+        return features[i][r.over] / features[i][r.under] if features[i][r.under] else 0.0
+
+    cut = {}
+    for s in strata:
+        own = [i for i in held if langs[i] == s]
+        for r in quality.RULES:
+            over = [sum(rate(i, r) > c for i in own) for c in r.cutoffs]
+            cut[s, r.name] = quality.selected(len(own), over, r.cutoffs, 0.02 / 5, 0.05 / (5 * len(strata)))
+    rows = queries.QUERIES["op10_quality_rules"](spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_features(texts[r.doc_id])
+        assert r.base_failed == failed[r.doc_id]
+        limits = [(cut.get((langs[r.doc_id], q.name)), rate(r.doc_id, q)) for q in quality.RULES]
+        assert r.kept == (not failed[r.doc_id] and not any(c is not None and x > c for c, x in limits))
