@@ -191,6 +191,18 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, k:
     return met.where(shared * 100 >= whole * percent).select("a", "b").distinct()
 
 
+def same_id_links(live: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links between the classes of ids that have several texts; usually there are none."""
+    several = live.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi"))
+    several = written(several.where("lo <> hi").select("doc_id"), "near-several")
+    if not several.count():
+        return None
+    held = live.join(several, "doc_id", "left_semi").join(classes, "set_key").groupBy("doc_id", "cls").count()
+    first = held.groupBy("doc_id").agg(F.min("cls").alias("a"))
+    pairs = held.join(first, "doc_id").where("a <> cls").select("a", F.col("cls").alias("b"))
+    return written(pairs.distinct(), "near-links")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, k: int = SKETCH
 ) -> DataFrame:
@@ -211,7 +223,8 @@ def near_duplicates(
     sources = docs.where("doc_id IS NOT NULL")
 
     lists = written(rare_lists(reps, k, percent), "near-lists").withColumn("comp", F.col("cls"))
-    links = None
+    links = same_id_links(live, reps)
+    joined = None
     for turn in range(STAR_ROUNDS + 1):
         lists = written(open_lists(lists), "near-open")
         by = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c"), F.count_if("minor").alias("m"))
@@ -230,9 +243,9 @@ def near_duplicates(
 
     classes = reps.select("set_key", "cls")
     if links is not None:
+        joined = joined or written(components(links), "near-components")
         named = classes.join(joined, F.col("cls") == F.col("node"), "left")
         classes = named.select("set_key", F.coalesce("component", "cls").alias("cls"))
-    # An id with several texts has several classes; it goes by the smallest.
     out = seen.select("doc_id", "n", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("cls", "doc_id"))
     return out.select(
