@@ -2,16 +2,18 @@
 
 Every document's set of word shingles is hashed once; its k smallest hashes are its
 sketch. Documents with equal sets are one class from then on. Inverted lists of the
-retained values bring classes together, the sketch of the union of two classes estimates
+retained values bring classes together, the sketch of the union of two classes bounds
 their similarity, and what may reach the threshold is confirmed on the full sets.
 
 No list is multiplied out. A class is listed under its *rarest* retained values only:
 two sketches that share at least ``least_shared`` values share one of the first
 ``size - least_shared + 1`` in any common order, so passages that many documents hold,
-being the most frequent values, bring nobody together on their own. Within a list, classes
-are first compared with one pivot of similar size; confirmed links join them to
-components, and only classes that are still in different components are compared pair
-by pair. Links within a component cannot change the result, which is the components.
+being the most frequent values, bring nobody together on their own. Short sketches pick the
+classes that share a list at all; those get long sketches, and there the place of the
+first shared value bounds what a pair can share. Within a list, classes are first compared
+with one pivot of similar size; confirmed links join them to components, and only
+classes that are still in different components are compared pair by pair. Links within
+a component cannot change the result, which is the components.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from ledgerlark.llm.common import sent_along, written
 from ledgerlark.llm.graph import components
 
 SKETCH = 32
-CACHED_WORDS = 300_000
+LONG_SKETCH = 256
+CACHED_WORDS = 100_000
 STAR_ROUNDS = 6
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -113,38 +116,57 @@ def least_shared(k: int, percent: int) -> int:
     return max(1, math.floor(k * j - 6 * math.sqrt(k * j * (1 - j))))
 
 
-def rare_lists(reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """``v``, ``cls``, ``n``: the classes under their rarest retained values, lists of one left out."""
-    postings = reps.select("cls", "n", F.explode("sketch").alias("v"))
+def rare_lists(sketches: DataFrame, k: int, percent: int) -> DataFrame:
+    """``v``, ``cls``, ``n``, ``place``: the classes under their rarest retained values, from rare to frequent.
+
+    ``place`` counts from 1 through all values of the sketch. Values of one class make no list.
+    """
+    postings = sketches.select("cls", "n", F.explode("sketch").alias("v"))
     often = postings.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     held = postings.join(often, "v").groupBy("cls", "n").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("l"))
     size = F.least(F.col("n"), F.lit(k))
     # Sets of up to k shingles are their own sketch, and the bound on them is exact.
     shared = F.least(F.lit(least_shared(k, percent)), F.ceil(F.col("n") * F.lit(percent) / 100))
     # Values that occur once are the rarest: they use up places without a list.
-    places = size - shared + 1 - (size - F.size("l"))
-    first = F.slice("l", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
-    return held.select("cls", "n", F.explode(first).alias("x")).select("x.v", "cls", "n")
+    alone = size - F.size("l")
+    first = F.slice("l", F.lit(1), F.greatest(size - shared + 1 - alone, F.lit(0)).cast("int"))
+    listed = held.select("cls", "n", alone.alias("alone"), F.posexplode(first).alias("at", "x"))
+    return listed.select("x.v", "cls", "n", (F.col("alone") + F.col("at") + 1).alias("place"))
+
 
+def may_reach(an: Column, ap: Column, bn: Column, bp: Column, k: int, percent: int) -> Column:
+    """Whether two classes whose first shared value has places ap and bp can be alike enough.
 
-def alike_in_size(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    Sizes must fit, and what is left of both sketches from that value on must be able to hold
+    the shared values that the threshold asks for: exactly so many where both sketches are
+    whole sets, else ``least_shared``. The condition holds in the list of the first
+    shared value of every link, so no link is lost by testing it in every list.
+    """
+    fits = F.least(an, bn) * 100 >= F.greatest(an, bn) * percent
+    exact = F.ceil((an + bn) * percent / F.lit(100 + percent))
+    asked = F.when(F.greatest(an, bn) <= k, exact).otherwise(F.lit(least_shared(k, percent)))
+    left = F.least(F.least(an, F.lit(k)) - ap, F.least(bn, F.lit(k)) - bp) + 1
+    return fits & (left >= asked)
 
 
-def star_pairs(lists: DataFrame, percent: int, salt: int) -> DataFrame:
+def star_pairs(lists: DataFrame, k: int, percent: int, salt: int) -> DataFrame:
     """Pairs (a < b) of classes in different components: those of a list with its pivots.
 
-    Pivots are drawn per list and band of sizes; a class meets those of its own band and of
-    the one below, which holds every size that could match from below.
+    There is a pivot per list and band of sizes; a class meets those of its own band and of
+    the one below, which holds every size that could match from below. First the class with
+    the fewest rarer values is the pivot, which is the most typical one; later ones are drawn.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("bigint")
     members = lists.withColumn("band", band)
-    draw = F.min(F.struct(F.xxhash64(F.col("cls"), F.lit(salt)).alias("h"), F.col("cls"), F.col("n"), F.col("comp")))
-    pivots = members.groupBy("v", "band").agg(draw.alias("p")).select("v", "band", "p")
+    first = F.col("place") if not salt else F.lit(0)
+    drawn = F.struct(first.alias("o"), F.xxhash64(F.col("cls"), F.lit(salt)).alias("h"), "cls", "n", "place", "comp")
+    pivots = members.groupBy("v", "band").agg(F.min(drawn).alias("p")).select("v", "band", "p.cls", "p.n", "p.place", "p.comp")
+    pivots = pivots.toDF("v", "band", "pcls", "pn", "pplace", "pcomp")
     near = members.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    met = near.join(pivots, ["v", "band"]).where(F.col("comp") != F.col("p.comp"))
-    met = met.where(alike_in_size(F.col("n"), F.col("p.n"), percent))
-    return met.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
+    met = near.join(pivots, ["v", "band"]).where(
+        (F.col("comp") != F.col("pcomp")) & may_reach(F.col("n"), F.col("place"), F.col("pn"), F.col("pplace"), k, percent)
+    )
+    return met.select(F.least("cls", "pcls").alias("a"), F.greatest("cls", "pcls").alias("b")).distinct()
 
 
 def open_lists(lists: DataFrame) -> DataFrame:
@@ -155,40 +177,36 @@ def open_lists(lists: DataFrame) -> DataFrame:
     return lists.join(tops, "v").withColumn("minor", F.col("comp") != F.col("top")).drop("top")
 
 
-def other_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a < b) that share a list and are in different components.
+def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
+    """All pairs (a < b) that share a list, may reach the threshold and are in different components.
 
     One side is always outside the list's largest component, so a large group of copies
-    is met once by each outsider and never by itself.
+    is met by outsiders and never by itself.
     """
-    left = lists.where("minor").select("v", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-    right = lists.select("v", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), "minor")
-    once = ~F.col("minor") | (F.col("x") < F.col("y"))
-    met = left.join(right, "v").where((F.col("xc") != F.col("yc")) & once & alike_in_size(F.col("xn"), F.col("yn"), percent))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold, after the estimate by the union's sketch."""
-    pairs = written(pairs, "near-pairs")
-    one = reps.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
-    two = reps.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
-    met = sent_along(pairs).join(one, "a").join(two, "b")
+    left = lists.where("minor").select("v", *[F.col(c).alias(f"x{c}") for c in ("cls", "n", "place", "comp")])
+    once = ~F.col("minor") | (F.col("xcls") < F.col("cls"))
+    may = may_reach(F.col("xn"), F.col("xplace"), F.col("n"), F.col("place"), k, percent)
+    met = left.join(lists, "v").where((F.col("xcomp") != F.col("comp")) & once & may)
+    return met.select(F.least("xcls", "cls").alias("a"), F.greatest("xcls", "cls").alias("b")).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold; most others fall by the estimate of the union's sketch."""
+    pairs = sent_along(written(pairs, "near-pairs"))
+
+    def side(name: str, column: str) -> DataFrame:
+        return sets.select(F.col("cls").alias(name), F.col(column).alias(f"s{name}"))
+
+    met = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     met = met.withColumn("u", F.size(union)).withColumn("s", F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))))
     enough = F.when(F.col("u") < k, F.col("s") * 100 >= F.col("u") * percent).otherwise(
         F.col("s") >= least_shared(k, percent)
     )
-    likely = written(met.where(enough).select("a", "b"), "near-likely")
-
-    ids = written(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct(), "near-ids")
-    texts = docs.join(sent_along(ids), "doc_id", "left_semi")
-    sets = written(texts.select("doc_id", full_sets(size)(F.col("text")).alias("set")), "near-sets")
-    met = sent_along(likely).join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
-    met = met.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
+    pairs = sent_along(written(met.where(enough).select("a", "b"), "near-likely"))
+    met = pairs.join(side("a", "set"), "a").join(side("b", "set"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    whole = F.size("sa") + F.size("sb") - shared
-    return met.where(shared * 100 >= whole * percent).select("a", "b").distinct()
+    return met.where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b").distinct()
 
 
 def same_id_links(live: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -204,7 +222,13 @@ def same_id_links(live: DataFrame, classes: DataFrame) -> DataFrame | None:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, k: int = SKETCH
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    k: int = SKETCH,
+    long_k: int = LONG_SKETCH,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -220,9 +244,17 @@ def near_duplicates(
     live = seen.where("n > 0 AND doc_id IS NOT NULL")
     least = live.groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("r"))
     reps = written(least.select("set_key", F.col("r.doc_id").alias("cls"), "r.n", "r.sketch"), "near-classes")
-    sources = docs.where("doc_id IS NOT NULL")
 
-    lists = written(rare_lists(reps, k, percent), "near-lists").withColumn("comp", F.col("cls"))
+    # Classes that meet another one in a list of short sketches; the others are done.
+    listed = rare_lists(reps, k, percent).select(F.col("cls").alias("doc_id")).distinct()
+    listed = sent_along(written(listed, "near-listed"))
+    texts = docs.where("doc_id IS NOT NULL").join(listed, "doc_id", "left_semi")
+    sets = texts.select(F.col("doc_id").alias("cls"), full_sets(size)(F.col("text")).alias("set")).where("size(set) > 0")
+    sets = sets.select("cls", F.size("set").cast("bigint").alias("n"), F.slice("set", 1, long_k).alias("sketch"), "set")
+    sets = written(sets, "near-sets")
+
+    lists = written(rare_lists(sets.select("cls", "n", "sketch"), long_k, percent), "near-lists")
+    lists = lists.withColumn("comp", F.col("cls"))
     links = same_id_links(live, reps)
     joined = None
     for turn in range(STAR_ROUNDS + 1):
@@ -231,15 +263,15 @@ def near_duplicates(
         todo = by.agg(F.sum(F.col("c") * F.col("m")).alias("pairs"), F.sum("c").alias("members")).first()
         if not todo["pairs"]:
             break
-        last = turn > 0 and (todo["pairs"] <= 20 * todo["members"] or turn == STAR_ROUNDS)
-        pairs = other_pairs(lists, percent) if last else star_pairs(lists.drop("minor"), percent, turn)
-        found = written(confirmed(pairs, reps, sources, size, k, percent), "near-links")
+        last = turn > 0 and (todo["pairs"] <= 1000 * todo["members"] or turn == STAR_ROUNDS)
+        pairs = other_pairs(lists, long_k, percent) if last else star_pairs(lists.drop("minor"), long_k, percent, turn)
+        found = written(confirmed(pairs, sets, long_k, percent), "near-links")
         links = found if links is None else links.union(found)
         joined = written(components(links), "near-components")
         if last:
             break
         now = lists.drop("comp", "minor").join(joined, F.col("cls") == F.col("node"), "left")
-        lists = now.select("v", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+        lists = now.select("v", "cls", "n", "place", F.coalesce("component", "cls").alias("comp"))
 
     classes = reps.select("set_key", "cls")
     if links is not None:
