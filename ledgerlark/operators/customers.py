@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.functions.money import money_sum, safe_divide
-from ledgerlark.operators.joins import with_known_size
 
 def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast(T.DecimalType(30, 6))).alias(name)
@@ -47,7 +46,7 @@ def customer_demographics(customers: DataFrame) -> DataFrame:
     A window per region would put each region into one task. The counts are
     small tables, so they are computed once and joined back.
     """
-    counts = with_known_size(customers.groupBy("country_code", "region").agg(F.count(F.lit(1)).alias("customers")))
+    counts = customers.groupBy("country_code", "region").agg(F.count(F.lit(1)).alias("customers"))
     in_country = counts.groupBy(F.col("country_code").alias("__country")).agg(
         F.sum("customers").alias("customers_in_country")
     )

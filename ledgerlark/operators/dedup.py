@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.joins import all_of, splittable_join, with_known_size
+from ledgerlark.operators.joins import all_of, splittable_join
 
 LOAD_COLUMNS = ("_fivetran_synced",)
 
@@ -76,23 +76,9 @@ def _agreed(df: DataFrame, keys: list[str], ignore: tuple[str, ...]) -> DataFram
     )
 
 
-def dedup_in_one_pass(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
-    """:func:`dedup_source` as a single lazy aggregate over whole rows.
-
-    Right when most keys repeat or ``df`` is expensive to compute: it is read
-    once (the NULL-key filter is pushed down), but every row is shuffled.
-    """
-    return _agreed(df, keys, ignore).unionByName(df.where(_any_null(keys)))
-
-
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Complete keys that occur more than once, measured.
-
-    Only key columns are read and shuffled. The list is usually short, and its
-    measured size lets the planner broadcast it, so that rows whose key occurs
-    once are never shuffled. A long list is joined by shuffling instead.
-    """
-    return with_known_size(duplicate_keys(df, keys).select(*keys))
+    """Complete keys that occur more than once; only the key columns are read and shuffled."""
+    return duplicate_keys(df, keys).select(*keys)
 
 
 def split_repeated(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -108,27 +94,20 @@ def dedup_source(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_
 
     Copies are compared on every column outside ``ignore``; the newest load
     metadata is kept. Rows with a NULL key part pass through untouched so that
-    not-null checks downstream still see them.
-
-    Re-deliveries are the exception, so the repeated keys are found first, from
-    the key columns alone. All other rows stay where they are, and columns that
-    nobody asks for are not even read for them.
+    not-null checks downstream still see them. A single aggregate over whole rows,
+    combined before the shuffle: every row moves once and no job runs while planning.
     """
-    once, copies = split_repeated(df, keys)
-    return once.unionByName(_agreed(copies, keys, ignore))
+    return _agreed(df, keys, ignore).unionByName(df.where(_any_null(keys)))
 
 
 def conflicting_keys(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Keys that carry two or more different versions."""
-    _, copies = split_repeated(df, keys)
-    return _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
+    return _versions(df, keys, ignore).where(_CONFLICT).select(*keys)
 
 
 def conflicting_rows(df: DataFrame, keys: list[str], ignore: tuple[str, ...] = LOAD_COLUMNS) -> DataFrame:
     """Every row behind a conflicting key: the quarantine table of a source."""
-    _, copies = split_repeated(df, keys)
-    conflicts = _versions(copies, keys, ignore).where(_CONFLICT).select(*keys)
-    return splittable_join(copies, conflicts, keys, "left_semi").select(*df.columns)
+    return splittable_join(df, conflicting_keys(df, keys, ignore), keys, "left_semi").select(*df.columns)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -140,33 +119,29 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def duplicate_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row behind a duplicated key, identical copies included."""
-    return split_repeated(df, keys)[1]
+    return splittable_join(df, repeated_keys(df, keys), keys, "left_semi").select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row with the greatest ``order`` per key.
+    """The row with the greatest ``order`` per key; a row without a whole key matches nothing and stays.
 
     ``max_by`` combines on the map side; a row_number window would first send
     all rows of a key to one task.
     """
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*order)).alias("__newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "__newest.*").select(*df.columns)
-
-
-def newest_version(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """:func:`latest_per_key` for rows to be merged: a row without a key matches nothing and stays."""
-    return latest_per_key(df.where(_no_null(keys)), keys, order).unionByName(df.where(_any_null(keys)))
+    keyed = df.where(_no_null(keys)).groupBy(*keys).agg(newest).select(*keys, "__newest.*").select(*df.columns)
+    return keyed.unionByName(df.where(_any_null(keys)))
 
 
 def quarantine_report(sources: dict[str, tuple[DataFrame, list[str]]], ignore=LOAD_COLUMNS) -> DataFrame:
     """Per source: keys re-delivered, keys in conflict, rows held back."""
     reports = []
     for name, (df, keys) in sources.items():
-        _, copies = split_repeated(df, keys)
         conflict = F.expr(_CONFLICT)
         reports.append(
-            _versions(copies, keys, ignore)
+            _versions(df, keys, ignore)
+            .where("__rows > 1")
             .agg(
                 F.count(F.lit(1)).alias("duplicate_keys"),
                 F.count(F.when(conflict, 1)).alias("conflicting_keys"),

@@ -31,12 +31,15 @@ def _merge(
     close_missing: bool,
 ) -> DataFrame:
     columns = incoming.columns
-    still_open = history.where(F.col("valid_to").isNull())
+    still_open = history.where(F.col("valid_to").isNull()).withColumn("__there", F.lit(True))
     closed = history.where(F.col("valid_to").isNotNull()).select(*columns, *VALIDITY)
     joined = still_open.alias("old").join(
-        incoming.alias("new"), all_of([F.col(f"old.`{k}`") == F.col(f"new.`{k}`") for k in keys]), "full_outer"
+        incoming.withColumn("__there", F.lit(True)).alias("new"),
+        all_of([F.col(f"old.`{k}`").eqNullSafe(F.col(f"new.`{k}`")) for k in keys]),
+        "full_outer",
     )
-    has_old, has_new = F.col("old.scd_id").isNotNull(), F.col(f"new.`{keys[0]}`").isNotNull()
+    # Rows without a key arrive too, so presence is a marker and no key column.
+    has_old, has_new = F.col("old.__there").isNotNull(), F.col("new.__there").isNotNull()
     forever = F.lit(None).cast("timestamp")
 
     def kept(end: Column) -> Column:

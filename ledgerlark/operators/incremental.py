@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.dedup import latest_per_key, newest_version, split_repeated
-from ledgerlark.operators.joins import splittable_join, with_known_size
-from ledgerlark.operators.revenue import attribute_clicks
+from ledgerlark.operators.dedup import latest_per_key, split_repeated
+from ledgerlark.operators.joins import splittable_join
+from ledgerlark.operators.revenue import AdHierarchy, attribute_clicks
 from ledgerlark.sources.files import high_water_mark, newer_than
 
 
-def build_visits(visits: DataFrame, hierarchy: DataFrame) -> DataFrame:
+def build_visits(visits: DataFrame, hierarchy: AdHierarchy) -> DataFrame:
     """Visits with last-click attribution."""
     return attribute_clicks(visits.withColumnRenamed("id", "visit_id"), hierarchy).select(
         "visit_id", "visited_at", "customer_id", "gclid", "attributed_platform", "attributed_campaign_id",
@@ -37,12 +37,11 @@ def new_visits(visits: DataFrame, target: DataFrame | None, lateness: str | None
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
     """Rows of ``target`` replaced by ``batch`` on ``keys``, plus the new keys.
 
-    Within the batch the greatest ``newest`` wins. The batch keys are measured:
-    a batch that is small next to the target is broadcast, and the target is
-    then filtered where it lies.
+    Within the batch the greatest ``newest`` wins. Planning starts no job; a batch
+    whose keys turn out to be few is broadcast when it has been read.
     """
-    latest = newest_version(batch, keys, newest)
-    replaced = with_known_size(latest.select(*keys))
+    latest = latest_per_key(batch, keys, newest)
+    replaced = latest.select(*keys)
     return splittable_join(target, replaced, keys, "left_anti").select(*target.columns).unionByName(latest)
 
 
@@ -63,7 +62,7 @@ class UpsertTable:
         return self.spark.read.schema(stored).parquet(self.path)
 
     def write_batch(self, batch: DataFrame, batch_id: int, newest: list[Column]) -> None:
-        unique = newest_version(batch.select(*self.schema.names), self.keys, newest)
+        unique = latest_per_key(batch.select(*self.schema.names), self.keys, newest)
         unique.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self) -> DataFrame:

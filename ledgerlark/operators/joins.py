@@ -8,8 +8,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.session import written
-
 _SPREAD = "__join_spread"
 
 
@@ -42,18 +40,5 @@ def left_join_many(one: DataFrame, many: DataFrame, on: list[str]) -> DataFrame:
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def with_known_size(df: DataFrame) -> DataFrame:
-    """Store a small derived table so that the planner knows its size.
-
-    Estimates for an aggregate follow its input, so a rollup of a few hundred
-    rows over a huge table looks huge and would cost the other side a shuffle.
-    Read back from the shared folder, the real size decides: below the broadcast
-    threshold it is broadcast, above it the join is shuffled as usual. A stored
-    table is also not recomputed when an executor is lost, and, unlike a cached
-    one, it is never mistaken for a later state of the same files.
-    """
-    return written(df, "measured")
-
-
 def all_of(conditions: list):
     return reduce(and_, conditions)

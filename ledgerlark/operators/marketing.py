@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerlark.functions.keys import surrogate_key
 from ledgerlark.functions.money import money_sum, safe_divide
 from ledgerlark.operators.joins import splittable_join
+from ledgerlark.operators.revenue import AdHierarchy
 from ledgerlark.operators.taxonomy import DEFAULT_RULES, Rule, campaign_subject, classify, session_subject
 
 # The verdicts, and the net return from which each applies.
@@ -24,10 +25,10 @@ _PERFORMANCE = (
 )
 
 
-def google_performance(clicks: DataFrame, hierarchy: DataFrame) -> DataFrame:
+def google_performance(clicks: DataFrame, hierarchy: AdHierarchy) -> DataFrame:
     """Daily ad results with their campaign, from a separate daily table."""
     return (
-        splittable_join(clicks, hierarchy, ["ad_id"])
+        splittable_join(clicks, hierarchy.joined(), ["ad_id"])
         .withColumn("platform", F.lit("google_ads"))
         .select(*_PERFORMANCE)
     )

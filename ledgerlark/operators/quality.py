@@ -56,7 +56,6 @@ def positive_value(df: DataFrame, column: str) -> DataFrame:
     return df.where(is_negative(column))
 
 
-non_negative = positive_value
 
 
 def range_check(df: DataFrame, column: str, low, high) -> DataFrame:

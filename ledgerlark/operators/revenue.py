@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,32 +78,57 @@ def item_rollup(items: DataFrame) -> DataFrame:
     )
 
 
-def ad_hierarchy(ads: DataFrame, ad_groups: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Ad -> ad group -> campaign, as one row per ad."""
-    return (
-        ads.select(F.col("id").alias("ad_id"), F.col("headline").alias("ad_name"), "ad_group_id")
-        .join(ad_groups.select(F.col("id").alias("ad_group_id"), "campaign_id"), "ad_group_id")
-        .join(campaigns.select(F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name")), "campaign_id")
-        .select("ad_id", "ad_name", "campaign_id", "campaign_name")
+class AdHierarchy(NamedTuple):
+    """Ads, ad groups and campaigns, each as it is stored, so that each has its own size."""
+
+    ads: DataFrame
+    ad_groups: DataFrame
+    campaigns: DataFrame
+
+    def joined(self) -> DataFrame:
+        """One row per ad that has a group and a campaign."""
+        return self.ads.join(self.ad_groups, "ad_group_id").join(self.campaigns, "campaign_id").select(
+            "ad_id", "ad_name", "campaign_id", "campaign_name"
+        )
+
+
+def ad_hierarchy(ads: DataFrame, ad_groups: DataFrame, campaigns: DataFrame) -> AdHierarchy:
+    """Ad -> ad group -> campaign."""
+    return AdHierarchy(
+        ads.select(F.col("id").alias("ad_id"), F.col("headline").alias("ad_name"), "ad_group_id"),
+        ad_groups.select(F.col("id").alias("ad_group_id"), "campaign_id"),
+        campaigns.select(F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name")),
     )
 
 
-def attribute_clicks(df: DataFrame, hierarchy: DataFrame, platform: str = "google_ads") -> DataFrame:
+def attribute_clicks(df: DataFrame, hierarchy: AdHierarchy, platform: str = "google_ads") -> DataFrame:
     """Add the campaign and ad behind the click id in column ``gclid``.
 
-    Rows without a usable click id keep NULL attribution. The ad id is unique
-    in the hierarchy, so the lookup cannot multiply rows.
+    Rows without a usable click id keep NULL attribution, as do ads whose group or
+    campaign is missing. Ids are unique in each lookup, so rows are not multiplied. The
+    lookups are joined to the rows one after the other: the planner knows the size of
+    a table but not of a join of tables, and sends small ones along, so that the
+    rows need not be shuffled by an ad id that most of them do not have.
     """
-    lookup = hierarchy.select(
-        F.col("ad_id").alias("__ad_id"),
-        F.lit(platform).alias("attributed_platform"),
-        F.col("campaign_id").alias("attributed_campaign_id"),
-        F.col("campaign_name").alias("attributed_campaign_name"),
-        F.col("ad_id").alias("attributed_ad_id"),
-        F.col("ad_name").alias("attributed_ad_name"),
+    ads = hierarchy.ads.select(
+        F.col("ad_id").alias("__ad_id"), F.col("ad_name").alias("__ad_name"), F.col("ad_group_id").alias("__group")
+    )
+    groups = hierarchy.ad_groups.select(F.col("ad_group_id").alias("__group"), F.col("campaign_id").alias("__campaign"))
+    campaigns = hierarchy.campaigns.select(
+        F.col("campaign_id").alias("__campaign"), F.col("campaign_name").alias("__name"), F.lit(True).alias("__whole")
+    )
+    clicked = df.withColumn("__ad_id", parse_click_id(F.col("gclid")))
+    for lookup, key in ((ads, "__ad_id"), (groups, "__group"), (campaigns, "__campaign")):
+        clicked = splittable_join(clicked, lookup, [key], "left")
+    whole = F.col("__whole")
+    return clicked.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.when(whole, F.lit(platform)).alias("attributed_platform"),
+        F.when(whole, F.col("__campaign")).alias("attributed_campaign_id"),
+        F.when(whole, F.col("__name")).alias("attributed_campaign_name"),
+        F.when(whole, F.col("__ad_id")).alias("attributed_ad_id"),
+        F.when(whole, F.col("__ad_name")).alias("attributed_ad_name"),
     )
-    clicked = df.withColumn("__ad_id", parse_click_id(F.col("gclid")).cast("bigint"))
-    return splittable_join(clicked, lookup, ["__ad_id"], "left").drop("__ad_id")
 
 
 def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -115,7 +142,7 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def enrich_orders(orders: DataFrame, customers: DataFrame, items: DataFrame, hierarchy: DataFrame) -> DataFrame:
+def enrich_orders(orders: DataFrame, customers: DataFrame, items: DataFrame, hierarchy: AdHierarchy) -> DataFrame:
     """Orders with customer country, item rollup and last-click attribution."""
     country = customers.select(
         F.col("id").alias("user_id"),

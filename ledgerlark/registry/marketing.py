@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import marketing as mkt
 from ledgerlark.operators.incremental import build_visits
-from ledgerlark.operators.joins import with_known_size
 from ledgerlark.operators.staging import typed
-from ledgerlark.operators.taxonomy import classify, load_rules, rules_frame, session_subject
+from ledgerlark.operators.taxonomy import classify, session_subject
 from ledgerlark.registry.base import Tables, part, query
 from ledgerlark.registry.models import big, dbl, div
 from ledgerlark.registry.revenue import fct, hierarchy
@@ -23,8 +22,8 @@ def combined(t: Tables):
 
 
 def channels(t: Tables, performance):
-    """Campaign channels, measured before use: there is one row per campaign."""
-    return with_known_size(mkt.classify_campaigns(performance, load_rules(rules_frame(t.spark))))
+    """Campaign channels: one row per campaign."""
+    return mkt.classify_campaigns(performance)
 
 
 def marketing(t: Tables):
@@ -68,7 +67,7 @@ def classify_theta(t: Tables):
     """Rules read from a table and searched in blocks, as for a long taxonomy."""
     subject = session_subject(F.col("source"), F.col("medium"), F.col("campaign"))
     sessions = t["raw_sessions"].select("session_id", "source", "medium", "campaign")
-    return classify(sessions, subject, load_rules(rules_frame(t.spark)), per_case=4)
+    return classify(sessions, subject, per_case=4)
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlark.operators.dedup import dedup_source
 from ledgerlark.operators.incremental import UpsertTable, build_visits
+from ledgerlark.operators.revenue import AdHierarchy
 from ledgerlark.operators.staging import typed
 from ledgerlark.sources.schemas import LOADED_AT, RAW_TABLES
 
@@ -25,16 +26,16 @@ def visit_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.parquet(path)
 
 
-def visits_schema(hierarchy: DataFrame) -> T.StructType:
+def visits_schema(hierarchy: AdHierarchy) -> T.StructType:
     """Columns of the visit fact, taken from an empty build."""
-    spark = hierarchy.sparkSession
+    spark = hierarchy.ads.sparkSession
     empty = spark.createDataFrame([], RAW_TABLES[VISITS].schema)
     return build_visits(typed(empty, VISITS), hierarchy).schema
 
 
 def load_visits(
     stream: DataFrame,
-    hierarchy: DataFrame,
+    hierarchy: AdHierarchy,
     table: UpsertTable,
     checkpoint: str,
     lateness: str | None = None,
@@ -46,8 +47,10 @@ def load_visits(
     the upsert, so the stream keeps no state and a much-copied visit needs no
     task of its own. With ``lateness`` (such as '2 hours'), visits that are
     older than the newest visit of earlier batches by more than that go to
-    ``late_path`` instead of the table.
+    ``late_path`` instead of the table. A visit without a time is never late.
     """
+    if lateness and not late_path:
+        raise ValueError("a lateness needs a late_path, where late visits are kept")
 
     # Newest visit before each batch. Only earlier batches count, so that a
     # retried batch does not see itself. The whole table is scanned once per
@@ -60,7 +63,7 @@ def load_visits(
             marks[batch_id] = table.high_water_mark("visited_at", F.col("batch_id") < batch_id)
         mark = marks.get(batch_id)
         if mark is not None:
-            on_time = F.col("visited_at") > F.lit(mark) - F.expr(f"INTERVAL {lateness}")
+            on_time = F.col("visited_at").isNull() | (F.col("visited_at") > F.lit(mark) - F.expr(f"INTERVAL {lateness}"))
             staged.where(~on_time).write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
             staged = staged.where(on_time)
         table.write_batch(build_visits(staged, hierarchy), batch_id, [F.col("_loaded_at")])
@@ -76,15 +79,6 @@ def load_visits(
     )
 
 
-def deduplicated_within(visits: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """First copy of each visit, for sinks that can only append.
-
-    Keeps the ids of the last ``lateness`` of event time as state; rows behind
-    the watermark are dropped.
-    """
-    return visits.withWatermark("visited_at", lateness).dropDuplicatesWithinWatermark(["id"])
-
-
 def land_raw(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the raw deliveries; each batch owns one folder and may be retried."""
 

@@ -48,27 +48,14 @@ def test_matches_the_two_step_definition_on_mixed_rows(spark, rows):
         df.join(versions.where("n = 1"), "k", "left_semi").groupBy("k", "v").agg(F.max("_fivetran_synced"))
     )
     assert rows(dedup.dedup_source(df, ["k"])) == rows(expected)
-    assert rows(dedup.dedup_in_one_pass(df, ["k"])) == rows(expected)
     assert dedup.conflicting_rows(df, ["k"]).count() == df.join(versions.where("n > 1"), "k", "left_semi").count()
 
 
-def test_one_pass_form(spark, executed, rows):
+def test_every_row_is_shuffled_once(spark, executed, rows):
     df = spark.range(1000).select((F.col("id") % 10).alias("id"), F.lit(1).alias("v"), F.lit(2).alias("_fivetran_synced"))
-    assert executed(dedup.dedup_in_one_pass(df, ["id"])).count("Exchange hashpartitioning") == 1
+    assert executed(dedup.dedup_source(df, ["id"])).count("Exchange hashpartitioning") == 1
     nulls = df.unionByName(df.limit(3).withColumn("id", F.lit(None).cast("bigint")))
-    assert rows(dedup.dedup_in_one_pass(nulls, ["id"])) == rows(dedup.dedup_source(nulls, ["id"]))
-
-
-def test_rows_that_occur_once_are_not_shuffled(spark, tmp_path, executed):
-    wide = spark.range(1000).select(F.col("id"), F.lit("x").alias("a"), F.lit("y").alias("b"))
-    wide.unionByName(wide.where("id = 7")).write.parquet(str(tmp_path / "t"))
-    plan = executed(dedup.dedup_source(spark.read.parquet(str(tmp_path / "t")), ["id"]).select("id", "a"))
-    once = plan[plan.index("LeftAnti"):plan.index("LeftSemi")]
-    # The one shuffle left is that of the compared copies, above the semi join.
-    assert "BroadcastHashJoin" in plan and once.count("Exchange hashpartitioning") == 1
-    assert once.index("partial_min") > once.index("Exchange hashpartitioning") > once.index("Aggregate")
-    # Unused columns are read only for the repeated keys, where they are compared.
-    assert "ReadSchema: struct<id:bigint,a:string>" in plan
+    assert rows(dedup.dedup_source(nulls, ["id"])) == [(i, 1, 2) for i in range(10)] + [(None, 1, 2)] * 3
 
 
 def test_latest_per_key(frame, rows):

@@ -22,7 +22,7 @@ def test_pct_change_and_minor_units(frame):
 
 
 def test_click_id(frame):
-    df = frame([("gclid-12-abc",), ("gclid-x-abc",), ("gclid",), ("",), (None,), ("gclid-99999999999-a",)], "g string")
+    df = frame([("gclid-12-abc",), ("gclid-x-abc",), ("gclid",), ("",), (None,), ("gclid-99999999999999999999-a",)], "g string")
     assert [r[0] for r in df.select(parse_click_id(F.col("g"))).collect()] == [12, None, None, None, None, None]
 
 
@@ -71,3 +71,18 @@ def test_dim_date(spark):
     assert len(dim.columns) == 21
     assert [r.date for r in dim.where("is_today").collect()] == [date(2026, 3, 4)]
     assert dim.where("not (date between week_start_date and week_end_date)").count() == 0
+
+
+def test_click_ids_beyond_32_bits(frame):
+    df = frame([("gclid-5000000000-a",)], "g string")
+    assert df.select(parse_click_id(F.col("g"))).first()[0] == 5_000_000_000
+
+
+def test_scrubbing_finds_what_the_plain_pattern_finds(frame):
+    import re
+
+    from ledgerlark.functions.text import EMAIL_PATTERN, REDACTED
+
+    texts = ["a@b.com+x@y.org", "a@b", "a@b.c a.b%c+d-e@f-g.hi.jk", "x" * 50_000, "@@a@b.cd@e.fg", "", "é a@b.com.é", "a@b.com@c.de"]
+    got = frame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(scrub_emails(F.col("t"))).collect()
+    assert [r[0] for r in got] == [re.sub(EMAIL_PATTERN, REDACTED, t) for t in texts]

@@ -63,3 +63,14 @@ def test_timestamp_strategy_and_lookup(frame, rows):
     )
     got = hist.as_of(facts, later, KEYS, "at", ["exchange_rate"])
     assert rows(got, "n", "exchange_rate") == [(0, None), (1, 1.1), (2, 1.1), (3, 1.3)]
+
+
+def test_rows_without_a_key_keep_their_version(frame):
+    incoming = frame([(None, "a", 1), (1, None, 2)], "id bigint, part string, v int")
+    at = F.to_timestamp(F.lit("2026-03-01 00:00:00"))
+    first = hist.snapshot_by_check(None, incoming, ["id", "part"], ["v"], at)
+    third = hist.snapshot_by_check(hist.snapshot_by_check(first, incoming, ["id", "part"], ["v"], at), incoming, ["id", "part"], ["v"], at)
+    told = sorted(map(repr, third.select("id", "part", "v", "valid_to").collect()))
+    assert told == sorted(map(repr, first.select("id", "part", "v", "valid_to").collect())) and len(told) == 2
+    changed = hist.snapshot_by_check(first, incoming.withColumn("v", F.lit(9)), ["id", "part"], ["v"], at)
+    assert changed.count() == 4 and changed.where("valid_to IS NULL AND v = 9").count() == 2

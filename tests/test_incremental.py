@@ -3,7 +3,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from ledgerlark.operators import incremental as inc
+from ledgerlark.operators.revenue import ad_hierarchy
 from ledgerlark.session import scratch_path
 from ledgerlark.sources import files
 from ledgerlark.sources.schemas import RAW_TABLES, REFERENCE_TABLES
@@ -21,7 +24,11 @@ def visit(i, hour, page="/", loaded=None, gclid=None):
 
 
 def hierarchy(frame):
-    return frame([(3, "Ad", 7, "Brand")], "ad_id bigint, ad_name string, campaign_id bigint, campaign_name string")
+    return ad_hierarchy(
+        frame([(3, "Ad", 5), (4, "Lost", 6), (5_000_000_000, "Late", 5)], "id bigint, headline string, ad_group_id bigint"),
+        frame([(5, 7), (6, 99)], "id bigint, campaign_id bigint"),
+        frame([(7, "Brand")], "id bigint, name string"),
+    )
 
 
 def test_high_water_mark_leaves_out_ties_and_late_rows(spark, rows):
@@ -104,19 +111,18 @@ def test_late_visits_go_to_a_side_folder(spark, frame, rows):
     assert rows(spark.read.parquet(late), "id") == [(3,), (6,)]
 
 
-def test_append_only_stream_drops_copies(spark):
-    source, out = scratch_path(spark, "in"), scratch_path(spark, "out")
-    spark.createDataFrame([visit(1, 1), visit(1, 1), visit(2, 2)], RAW.schema).write.parquet(source)
-    job = (
-        stream.deduplicated_within(stream.visit_stream(spark, source))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    job.awaitTermination()
-    assert spark.read.parquet(out).count() == 2
+def test_visits_without_a_time_are_kept(spark, frame, rows):
+    source, late, lookup = scratch_path(spark, "in"), scratch_path(spark, "late"), hierarchy(frame)
+    table = inc.UpsertTable(spark, scratch_path(spark, "fct"), stream.visits_schema(lookup), ["visit_id"])
+    progress = scratch_path(spark, "progress")
+    for batch in ([visit(1, 5)], [visit(2, 6), (3, None, None, None, "/", "mobile", at(6)), visit(4, 1)]):
+        spark.createDataFrame(batch, RAW.schema).coalesce(1).write.mode("append").parquet(source)
+        visits = stream.visit_stream(spark, source, files_per_batch=1)
+        stream.load_visits(visits, lookup, table, progress, "2 hours", late).awaitTermination()
+    assert rows(table.read(), "visit_id") == [(1,), (2,), (3,)]
+    assert rows(spark.read.parquet(late), "id") == [(4,)]
+    with pytest.raises(ValueError):
+        stream.load_visits(visits, lookup, table, progress, "2 hours")
 
 
 def test_a_later_conflict_withdraws_a_visit(spark, rows):

@@ -54,7 +54,11 @@ def shop(frame):
         [(DAY, "GBP", "EUR", D("1.1700")), (date(2026, 3, 1), "GBP", "EUR", D("2.0000")), (DAY, "USD", "EUR", D("9.0000"))],
         "date date, base_currency string, target_currency string, rate decimal(10,4)",
     )
-    hierarchy = frame([(3, "Ad 3", 7, "Brand")], "ad_id bigint, ad_name string, campaign_id bigint, campaign_name string")
+    hierarchy = rev.ad_hierarchy(
+        frame([(3, "Ad 3", 5), (4, "Lost", 6), (5_000_000_000, "Late", 5)], "id bigint, headline string, ad_group_id bigint"),
+        frame([(5, 7), (6, 99)], "id bigint, campaign_id bigint"),
+        frame([(7, "Brand")], "id bigint, name string"),
+    )
     customers = frame(
         [(i, "A", "B", "a@b.example", "N1", LOADED.date(), LOADED) for i in (1, 2, 3, 4)],
         "id bigint, first_name string, last_name string, email string, country_code string, created_at date, _loaded_at timestamp",

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
 from ledgerlark.operators import dedup, quality
-from ledgerlark.operators.joins import left_join_many, splittable_join, with_known_size
+from ledgerlark.operators.joins import left_join_many, splittable_join
+from ledgerlark.operators.revenue import ad_hierarchy, attribute_clicks
+from ledgerlark.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -69,25 +70,37 @@ def test_left_join_with_a_hot_right_side(spark, no_broadcast, executed):
 
 
 def test_copies_of_a_hot_key_collapse_before_the_shuffle(spark, executed):
-    plan = executed(dedup.dedup_in_one_pass(hot_rows(spark).withColumnRenamed("k", "key"), ["key"]))
+    plan = executed(dedup.dedup_source(hot_rows(spark).withColumnRenamed("k", "key"), ["key"]))
     # Reading bottom up: the partial aggregate comes before the exchange.
     assert re.search(r"Exchange hashpartitioning\(key.*?partial_min", plan, re.S)
 
 
-def test_a_small_rollup_is_broadcast_once_measured(spark, executed):
-    rows = hot_rows(spark)
-    rollup = with_known_size(rows.groupBy((F.col("id") % 5).alias("g")).agg(F.count(F.lit(1)).alias("n")))
-    plan = executed(rows.withColumn("g", F.col("id") % 5).join(rollup, "g"))
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+def test_attribution_leaves_the_rows_where_they_are(spark, tmp_path, executed):
+    for name, n in (("ads", 20_000), ("groups", 5_000), ("campaigns", 1_250)):
+        frame = spark.range(n).select("id", F.col("id").cast("string").alias("headline"), F.col("id").cast("string").alias("name"),
+                                      (F.col("id") % 5_000).alias("ad_group_id"), (F.col("id") % 1_250).alias("campaign_id"))
+        frame.write.parquet(str(tmp_path / name))
+    lookup = ad_hierarchy(*[spark.read.parquet(str(tmp_path / n)) for n in ("ads", "groups", "campaigns")])
+    clicks = spark.range(100_000).select("id", F.concat(F.lit("gclid-"), "id", F.lit("-x")).alias("gclid"))
+    plan = executed(attribute_clicks(clicks, lookup))
+    assert plan.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in plan
+
+
+def test_planning_a_dedupe_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    dedup.dedup_source(hot_rows(spark), ["k"])
+    dedup.duplicate_key_rows(hot_rows(spark), ["k"])
+    assert list(tracker.getJobIdsForGroup("planning")) == []
 
 
-LAZY = sorted(set(queries()) - {"gated_publish"})
+LAZY = sorted(set(QUERIES) - {"gated_publish"})
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_query_needs_a_single_task_or_a_product(spark, name):
     """No cross or nested-loop join, no window over everything, no Python in the plan."""
-    plan = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "ArrowEvalPython", "BatchEvalPython"):
         assert forbidden not in plan
     # A single partition may only receive global aggregates, that is, one row per task.
@@ -96,12 +109,12 @@ def test_no_query_needs_a_single_task_or_a_product(spark, name):
 
 
 def test_pushdown_reaches_the_scan(spark):
-    plan = queries()["item_rollup"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["item_rollup"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schema == "l_orderkey:bigint,l_quantity:double,l_extendedprice:double"
-    plan = queries()["refund_rollup"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["refund_rollup"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderstatus,O)" in plan
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)

@@ -56,13 +56,6 @@ def test_long_taxonomy(frame):
     ]
 
 
-def test_rules_round_trip_and_bound(spark, monkeypatch):
-    assert sorted(tax.load_rules(tax.rules_frame(spark))) == sorted(tax.DEFAULT_RULES)
-    monkeypatch.setattr(tax, "MAX_RULES", 3)
-    with pytest.raises(ValueError):
-        tax.load_rules(tax.rules_frame(spark))
-
-
 def test_each_pattern_is_evaluated_once(frame):
     df = tax.classify(frame([("a",)], "n string").repartition(2), F.col("n"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
