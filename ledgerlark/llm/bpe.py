@@ -10,16 +10,16 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
-
-from collections.abc import Iterator
+from pyspark.sql.types import StructField, StructType
 
 # Fixed value: how the byte-level pre-tokenizer splits a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -27,6 +27,7 @@ LONG_WORD = 128
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 NEVER = 1 << 60
+PIECE = 2 << 20
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -175,67 +176,85 @@ def _ready(shared: Broadcast) -> tuple[Vocabulary, Encoder]:
     return _loaded[key]
 
 
-def encoded(shared: Broadcast):
-    """Column function: the token ids of a text (NULL: of the empty text)."""
+def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PIECE`` bytes of the column, one row at least."""
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        sizes = pc.multiply(pc.list_value_length(values), 4)
+    else:
+        sizes = pc.binary_length(values)
+    ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        past = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, past + PIECE)))
+        yield batch.slice(at, stop - at)
+        at = stop
 
-    def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        _, encode = _ready(shared)
-        for text in texts:
-            packed = [encode(x) if x else b"" for x in text.to_pylist()]
-            ends = np.cumsum([0, *map(len, packed)]) // 4
-            ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
-    batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, ArrayType(IntegerType()))
+def _with_column(docs: DataFrame, source: str, name: str, kind: str, make) -> DataFrame:
+    """``docs`` with ``name`` made from ``source``, slice by slice; a column of that name is replaced.
 
+    Batches of many long texts would hold several copies of everything at once, so each is
+    worked off in slices, and the results leave the task slice by slice.
+    """
+    fields = [f for f in docs.schema.fields if f.name.lower() != name.lower()]
+    schema = StructType([*fields, StructField(name, StructType.fromDDL(f"x {kind}")["x"].dataType)])
+    kept = [f.name for f in fields]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("__in"))
 
-def decoded(shared: Broadcast):
-    """Column function: the text of token ids; bytes that are no UTF-8 become U+FFFD, NULL stays NULL."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to = make()
+        for batch in batches:
+            for piece in _pieces(batch, len(kept)):
+                made = to(piece.column(len(kept)))
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], made], names=[*kept, name])
+
+    return rows.mapInArrow(work, schema)
 
-    def batches(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = _ready(shared)[0].bytes.__getitem__
-        for ids in lists:
-            yield pa.array(
-                [None if x is None else b"".join(map(token, x)).decode("utf-8", "replace") for x in ids.to_pylist()],
-                pa.string(),
-            )
 
-    batches.__annotations__ = {"lists": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, "string")
+def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", packed: bool = False) -> DataFrame:
+    """``docs`` with the token ids of every whole text; NULL and empty texts have no tokens.
 
+    Ids are an array of integers or, ``packed``, a binary of little-endian unsigned 32-bit
+    integers. Strings of added tokens inside a text become those tokens, as the file
+    declares. A column that is called ``ids`` already is replaced. Rows never move and
+    repeated rows agree.
+    """
+    shared = shared_vocabulary(docs.sparkSession, path)
 
-def digested():
-    """Column function: hex SHA-256 of ids packed as little-endian unsigned 32-bit integers."""
+    def make():
+        encode = _ready(shared)[1]
 
-    def batches(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import hashlib
+        def one(texts: pa.Array) -> pa.Array:
+            coded = [encode(x) if x else b"" for x in texts.to_pylist()]
+            if packed:
+                return pa.array(coded, pa.binary())
+            ends = np.cumsum([0, *map(len, coded)]) // 4
+            flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
-        for ids in lists:
-            flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            ends = np.cumsum([0, *[n or 0 for n in ids.value_lengths().to_pylist()]])
-            yield pa.array(
-                [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)],
-                pa.string(),
-            )
+        return one
 
-    batches.__annotations__ = {"lists": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, "string")
+    return _with_column(docs, text, ids, "binary" if packed else "array<int>", make)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of every whole text; NULL and empty texts have no tokens.
+def decode_documents(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
+    """``docs`` with the text that ``ids`` (array or packed) stand for, in column ``text``, which is replaced if there.
 
-    Strings of added tokens inside a text become those tokens, as the file declares. A
-    column that is called ``ids`` already is replaced. Rows never move; repeated rows agree.
+    Bytes that are no UTF-8 become U+FFFD; NULL ids give a NULL text.
     """
-    return docs.withColumn(ids, encoded(shared_vocabulary(docs.sparkSession, path))(F.col(text)))
+    shared = shared_vocabulary(docs.sparkSession, path)
 
+    def make():
+        token = _ready(shared)[0].bytes.__getitem__
 
-def decode_documents(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """``docs`` with the text that ``ids`` stand for in column ``text``, which is replaced if there."""
-    return docs.withColumn(text, decoded(shared_vocabulary(docs.sparkSession, path))(F.col(ids)))
+        def text_of(x) -> str | None:
+            if x is None:
+                return None
+            numbers = np.frombuffer(x, "<u4").tolist() if isinstance(x, bytes) else x
+            return b"".join(map(token, numbers)).decode("utf-8", "replace")
 
+        return lambda column: pa.array(map(text_of, column.to_pylist()), pa.string())
 
-def ids_digest(ids: Column) -> Column:
-    return digested()(ids)
+    return _with_column(docs, ids, text, "string", make)

@@ -47,12 +47,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode_documents(docs, path).select("doc_id", "ids")
-    back = bpe.decode_documents(ids.withColumn("ids_sha256", bpe.ids_digest(F.col("ids"))), path)
-    return back.select(
+    coded = bpe.encode_documents(docs, path, packed=True).select("doc_id", "ids")
+    return bpe.decode_documents(coded, path).select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids_sha256",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
 
