@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.dedup import conflicting_rows, duplicate_keys
 from ledgerlark.operators.joins import splittable_join
+from ledgerlark.session import delete_path, replace_path
 from ledgerlark.sources.files import write_table
 
 ERROR, WARN = "error", "warn"
@@ -195,15 +197,20 @@ def store_failures(tables: dict[str, DataFrame], checks: list[Check], path: str)
 def publish_if_clean(df: DataFrame, name: str, checks: list[Check], path: str, others=None) -> tuple[bool, list]:
     """Write ``df`` only when no error-severity check fails; warnings pass.
 
-    The frame is written to a staging folder next to the target and checked
-    there, so the checked rows are the published rows and nothing is computed
-    twice. Returns whether it was published and the summary rows.
+    The frame is written once, to a staging folder next to the target, and checked
+    there, so the checked rows are the published rows. A clean one takes the
+    target's place by renaming; what was published before is removed only after
+    that, and a failing one leaves it untouched. Returns whether it was published
+    and the summary rows.
     """
-    staged = f"{path.rstrip('/')}__staged"
-    df.write.mode("overwrite").parquet(staged)
-    stored = df.sparkSession.read.parquet(staged)
+    spark, target = df.sparkSession, path.rstrip("/")
+    staged = f"{target}__staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    stored = spark.read.schema(df.schema).parquet(staged)
     summary = run_checks({**(others or {}), name: stored}, checks).collect()
     clean = all(row["status"] != "fail" for row in summary)
     if clean:
-        stored.write.mode("overwrite").parquet(path)
+        replace_path(spark, staged, target)
+    else:
+        delete_path(spark, staged)
     return clean, summary

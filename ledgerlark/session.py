@@ -53,6 +53,20 @@ def delete_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_path(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of another by renaming; the old one goes last."""
+    place, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, staged))
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = f"{target}__old-{uuid.uuid4().hex}"
+    had = store.exists(place)
+    if had and not store.rename(place, spark._jvm.org.apache.hadoop.fs.Path(old)):
+        raise OSError(f"{target} could not be moved aside")
+    if not store.rename(new, place):
+        raise OSError(f"{staged} could not be moved to {target}")
+    if had:
+        delete_path(spark, old)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
