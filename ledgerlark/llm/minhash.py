@@ -33,7 +33,7 @@ from ledgerlark.llm.common import sent_along, written
 from ledgerlark.llm.graph import components
 
 SKETCH = 32
-LONG_SKETCH = 256
+LONG_SKETCH = 512
 CACHED_WORDS = 100_000
 STAR_ROUNDS = 6
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
