@@ -20,6 +20,7 @@ from ledgerlark.llm.common import written
 QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 4096
 PANEL = 32  # queries whose score arrays are held at once
+DENSE = 0.2  # share of the rows from which a term's postings, or a panel's weights, are spread out whole
 HITS = "query_id bigint, query_hash bigint, vec_id bigint, score bigint"
 ARROW_HITS = pa.schema([(n, pa.int64()) for n in ("query_id", "query_hash", "vec_id", "score")])
 
@@ -53,17 +54,28 @@ def by_term(rows: np.ndarray, terms: np.ndarray, values: np.ndarray) -> dict[int
     return {int(t): (rows[order[a:b]], values[order[a:b]]) for t, a, b in zip(names, starts, ends, strict=True)}
 
 
-def score_type(queries: dict, postings: dict) -> type:
-    """The smallest integers that hold every score and every partial sum."""
-    bound = sum(
+def score_bound(queries: dict, postings: dict) -> int:
+    """What no score and no partial sum exceeds."""
+    return sum(
         max(abs(int(v)) for v in (w.min(), w.max())) * max(abs(int(v)) for v in (x.min(), x.max()))
         for t, (_, w) in queries.items()
         if t in postings
         for x in [postings[t][1]]
     )
+
+
+def narrowest(bound: int) -> type:
+    """The smallest integers that hold values up to ``bound``; Python's beyond 62 bits."""
     return next((kind for kind, bits in ((np.int16, 15), (np.int32, 31), (np.int64, 62)) if bound < 1 << bits), object)
 
 
+def spread_out(rows: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """Weights in a dense array, 0 elsewhere."""
+    out = np.zeros(n, weights.dtype)
+    out[rows] = weights
+    return out
+
+
 def best_of_cell(cell: pa.Table, k: int) -> pa.Table:
     """The k best candidates of each query of a cell."""
     cell = cell.sort_by("vec_id")  # a smaller row number is a smaller id
@@ -72,11 +84,16 @@ def best_of_cell(cell: pa.Table, k: int) -> pa.Table:
     if not len(asked) or not len(cand):
         return ARROW_HITS.empty_table()
     queries, postings = by_term(*flat(asked["q"])), by_term(*flat(cand["q"]))
-    kind = score_type(queries, postings)
-    postings = {t: (rows, weights.astype(kind)) for t, (rows, weights) in postings.items()}
+    bound = score_bound(queries, postings)
+    kind = narrowest(bound)
     query_ids, ids = asked["vec_id"].to_numpy(), cand["vec_id"].to_numpy()
     n, out = len(ids), []
-    places = np.arange(n - 1, -1, -1)
+    postings = {t: (rows, weights.astype(kind)) for t, (rows, weights) in postings.items()}
+    spread = {t: spread_out(rows, weights, n) for t, (rows, weights) in postings.items() if len(rows) >= DENSE * n}
+    # A score and a place in one number, which the narrowest type that holds it makes quick to select.
+    wide = narrowest((bound + 1) * n)
+    places = np.arange(n - 1, -1, -1).astype(wide)
+    own_from, own_to = np.searchsorted(ids, query_ids, "left"), np.searchsorted(ids, query_ids, "right")
     for first in range(0, len(asked), PANEL):
         size = min(PANEL, len(asked) - first)
         scores = np.zeros((size, n), kind)
@@ -89,16 +106,18 @@ def best_of_cell(cell: pa.Table, k: int) -> pa.Table:
                 continue
             rows, posted = postings[term]
             held, weight = holders[a:b] - first, weights[a:b].astype(kind)[:, None]
-            if len(rows) == n and len(held) == size:
-                np.multiply(weight, posted[None, :], out=product)
+            if term in spread and len(held) >= DENSE * size:
+                np.multiply(spread_out(held, weight[:, 0], size)[:, None], spread[term][None, :], out=product)
                 scores += product
-            elif len(rows) == n:
-                scores[held] += weight * posted[None, :]
+            elif term in spread:
+                scores[held] += weight * spread[term][None, :]
             else:
                 scores[np.ix_(held, rows)] += weight * posted[None, :]
-        own = query_ids[first : first + size, None] == ids[None, :]
-        ranked = scores.astype(np.int64 if kind is not object else object) * n + places
-        ranked[own] = np.iinfo(np.int64).min if kind is not object else min(0, ranked.min()) - 1
+        ranked = scores.astype(wide) * (n if wide is object else wide(n)) + places
+        own = np.zeros((size, n), bool)
+        for i, (a, b) in enumerate(zip(own_from[first : first + size], own_to[first : first + size], strict=True)):
+            own[i, a:b] = True
+            ranked[i, a:b] = np.iinfo(wide).min if wide is not object else -(1 << 200)
         take = min(k, n)
         top = np.argpartition(ranked, n - take, axis=1)[:, n - take :] if take < n else np.tile(np.arange(n), (size, 1))
         row = np.repeat(np.arange(size), top.shape[1])

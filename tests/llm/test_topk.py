@@ -52,6 +52,8 @@ def test_sums_of_any_size(spark):
     rows = [(0, [1e4] * 4), (1, [2e6] * 4), (2, [-3e6, 1e6, 0.0, 1.0]), (3, [9e12] * 4)]
     held = [(q, n, i, min(s, 2**63 - 1)) for q, n, i, s in plain(rows, lambda i: i == 0)]
     assert ours(spark, rows) == held
+    near = [(0, [1e7] * 3)] + [(i, [1e7, 1e7, 1e7 + i / 64]) for i in range(1, 30)]
+    assert ours(spark, near) == plain(near, lambda i: i % 20 == 0)
     top = ours(spark, [(0, [1e16]), (1, [1e16])])
     assert top == [(0, 1, 1, 2**63 - 1)]
 
