@@ -34,7 +34,9 @@ def per_text(make: Callable[[], Callable[[bytes], tuple]], returns: str) -> Call
     """A column function that maps each UTF-8 text to a struct, a batch of rows at a time.
 
     ``make()`` runs once for every task and gives the function of one text; NULL counts
-    as an empty text. ``returns`` is a DDL list of the struct's fields.
+    as an empty text. ``returns`` is a DDL list of the struct's fields. The function counts
+    as non-deterministic, or the optimizer would copy it into every filter on its result,
+    below joins even, and run it twice.
     """
     schema = StructType.fromDDL(returns)
     kind = to_arrow_type(schema)
@@ -47,7 +49,7 @@ def per_text(make: Callable[[], Callable[[bytes], tuple]], returns: str) -> Call
             yield pa.array(out, kind)
 
     batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, schema)
+    return F.arrow_udf(batches, schema).asNondeterministic()
 
 
 def with_struct(df: DataFrame, column: Column, names: Iterable[str]) -> DataFrame:

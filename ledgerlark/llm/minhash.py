@@ -91,7 +91,7 @@ def sketched(size: int, k: int):
             )
 
     batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, schema)
+    return F.arrow_udf(batches, schema).asNondeterministic()  # see per_text
 
 
 def full_sets(size: int):
@@ -103,7 +103,7 @@ def full_sets(size: int):
             yield _long_lists([shingle_hashes(x or b"", size, hashes) for x in text.cast(pa.binary()).to_pylist()])
 
     batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(batches, ArrayType(LongType()))
+    return F.arrow_udf(batches, ArrayType(LongType())).asNondeterministic()
 
 
 def least_shared(k: int, percent: int) -> int:
