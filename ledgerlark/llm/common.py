@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -12,10 +14,12 @@ from pyspark.sql.types import StructType
 
 from ledgerlark.session import written
 
-__all__ = ["per_text", "sent_along", "table", "with_struct", "written"]
+__all__ = ["per_text", "sent_along", "slices", "table", "with_struct", "written"]
 
 #: Rows of two or three integers that may be sent to every executor: some tens of MB.
 SENT_ROWS = 500_000
+#: Bytes of text that a Python worker takes out of a batch at a time.
+SLICE = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,8 +34,24 @@ def sent_along(stored: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= (SENT_ROWS if rows is None else rows) else stored
 
 
+def slices(texts: Iterator[pa.Array]) -> Iterator[list[bytes]]:
+    """The texts of all batches as bytes, about ``SLICE`` bytes at a time and one text at least; NULL is empty.
+
+    A batch holds 10,000 rows whatever their length, and what is made of them is larger still.
+    """
+    for text in texts:
+        text = text.cast(pa.binary())
+        ends = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(text):
+            past = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, past + SLICE)))
+            yield [x or b"" for x in text.slice(at, stop - at).to_pylist()]
+            at = stop
+
+
 def per_text(make: Callable[[], Callable[[bytes], tuple]], returns: str) -> Callable[[Column], Column]:
-    """A column function that maps each UTF-8 text to a struct, a batch of rows at a time.
+    """A column function that maps each UTF-8 text to a struct, a slice of rows at a time.
 
     ``make()`` runs once for every task and gives the function of one text; NULL counts
     as an empty text. ``returns`` is a DDL list of the struct's fields. The function counts
@@ -44,9 +64,8 @@ def per_text(make: Callable[[], Callable[[bytes], tuple]], returns: str) -> Call
     def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = make()
         names = schema.names
-        for text in texts:
-            out = [dict(zip(names, one(x or b""), strict=True)) for x in text.cast(pa.binary()).to_pylist()]
-            yield pa.array(out, kind)
+        for some in slices(texts):
+            yield pa.array([dict(zip(names, one(x), strict=True)) for x in some], kind)
 
     batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(batches, schema).asNondeterministic()

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from ledgerlark.llm.common import sent_along, written
+from ledgerlark.llm.common import sent_along, slices, written
 from ledgerlark.llm.graph import components
 
 SKETCH = 32
@@ -79,8 +79,8 @@ def sketched(size: int, k: int):
 
     def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = _WordHashes()
-        for text in texts:
-            sets = [shingle_hashes(x or b"", size, hashes) for x in text.cast(pa.binary()).to_pylist()]
+        for some in slices(texts):
+            sets = [shingle_hashes(x, size, hashes) for x in some]
             yield pa.StructArray.from_arrays(
                 [
                     pa.array(list(map(len, sets)), pa.int64()),
@@ -99,8 +99,8 @@ def full_sets(size: int):
 
     def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = _WordHashes()
-        for text in texts:
-            yield _long_lists([shingle_hashes(x or b"", size, hashes) for x in text.cast(pa.binary()).to_pylist()])
+        for some in slices(texts):
+            yield _long_lists([shingle_hashes(x, size, hashes) for x in some])
 
     batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(batches, ArrayType(LongType())).asNondeterministic()
