@@ -1,16 +1,17 @@
 """URL filter: curated host rules, then association rules mined from the labels they give.
 
-Curated rules decide what they name; the longest wins. Their verdicts label the urls, and
-FP-growth mines which combinations of url tokens go with a block. Rules that are confident
-and frequent enough, and that no shorter rule already implies, judge the urls that no
-curated rule names. They are found through an inverted index: each rule is filed under its
+Curated rules decide what they name; the longest wins. Their verdicts label the urls they
+name, and over those alone FP-growth mines which combinations of url tokens go with a block.
+Rules that are confident and frequent enough, name a host label and a path word as curated
+rules do, and that no shorter rule already implies, judge the urls that no curated rule
+names. They are found through an inverted index: each rule is filed under its
 rarest token, a url looks up its own tokens, and only rules filed there are compared.
 Everything runs as DataFrame and SQL operations.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -78,17 +79,29 @@ def url_tokens(host: Column, path: Column) -> Column:
     return F.array_sort(F.filter(both, lambda x: F.length(x) > 2))
 
 
+def host_and_word(needs: Column) -> Column:
+    """The shape of a curated rule: a host label and a path word; a word of digits alone is none."""
+    word = F.exists(needs, lambda t: t.startswith("p:") & (t != "p:0"))
+    return F.exists(needs, lambda t: t.startswith("h:")) & word
+
+
 def mine_rules(
-    labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.9, partitions: int | None = None
+    labelled: DataFrame,
+    min_support: float = 0.005,
+    min_confidence: float = 0.9,
+    partitions: int | None = None,
+    shape: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Block rules (``rule_id``, ``needs``, ``confidence``, ``support``) from ``tokens`` and ``blocked``.
 
-    A url without a label counts as not blocked. Frequent sets come from FP-growth over
-    all urls; a rule must reach the support and the confidence, and is pruned where a rule
-    with fewer tokens is at least as confident. What the driver holds is the list of
-    frequent tokens, at most (tokens of a url) / ``min_support`` of them at any input size.
-    An empty table and one without a block give no rules.
+    A url whose ``blocked`` is NULL has no label and counts neither for nor against a rule.
+    Frequent sets come from FP-growth over the labelled urls; a rule must reach the support
+    and the confidence and have the ``shape``, and is pruned where such a rule with fewer
+    tokens is at least as confident. What the driver holds is the list of frequent tokens,
+    at most (tokens of a url) / ``min_support`` of them at any input size. An empty table
+    and one without a block give no rules.
     """
+    labelled = labelled.where("blocked IS NOT NULL")
     baskets = labelled.select(
         F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCKED))).otherwise(F.col("tokens")).alias("items")
     ).where(F.size("items") > 0)
@@ -99,6 +112,8 @@ def mine_rules(
     if partitions:
         miner = miner.setNumPartitions(partitions)
     found = miner.fit(baskets).associationRules.where(F.element_at("consequent", 1) == BLOCKED)
+    if shape:
+        found = found.where(shape(F.col("antecedent")))
     found = written(
         found.select(F.array_sort("antecedent").alias("needs"), "confidence", "support").withColumn(
             "rule_id", F.xxhash64("needs")
@@ -159,7 +174,7 @@ def judge_urls(
         F.col(url).alias("url"), url_tokens(F.col("host"), F.col("path")).alias("tokens"), F.col("verdict").alias("v")
     )
     mined = mine_rules(
-        labelled.select("tokens", F.col("v").eqNullSafe("block").alias("blocked")), min_support, min_confidence
+        labelled.select("tokens", (F.col("v") == "block").alias("blocked")), min_support, min_confidence, shape=host_and_word
     )
     open_urls = labelled.where("v IS NULL AND size(tokens) > 0").select("url", "tokens")
     hits = matched(open_urls, mined).select(F.col("url").alias("__url"), F.col("needs").alias("mined"), "confidence")

@@ -103,6 +103,18 @@ def test_mined_rules_decide_what_no_rule_names(spark):
     assert out[2001].verdict == "allow" and out[1005].verdict == "allow" and out[1005].rule is None
 
 
+def test_open_urls_neither_dilute_nor_feed_the_rules(spark):
+    """A blocked pattern that far more open urls share is mined from the labelled rows all the same."""
+    rows = [(i, f"http://s{i}.spam.net/es/cheap/{i}") for i in range(20)]
+    rows += [(100 + i, f"http://s{i}.shop.com/es/fair/{i}") for i in range(20)]
+    rows += [(1000 + i, f"http://t{i}.spam.org/es/cheap/{i}") for i in range(5000)]
+    rows += [(9000 + i, f"http://t{i}.fine.org/es/fair/{i}") for i in range(100)]
+    out = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
+    assert {r.verdict for i, r in out.items() if 1000 <= i < 9000} == {"block"}
+    assert {r.verdict for i, r in out.items() if i >= 9000 or 100 <= i < 1000} == {"allow"}
+    assert all(any(t.startswith("h:") for t in r.mined) and r.rule is None for r in out.values() if r.mined)
+
+
 def test_the_main_path_is_native(spark, executed):
     plan = executed(queries.QUERIES["op1_url_filter"](spark, FOLDER))
     assert "Python" not in plan and "Arrow" not in plan
