@@ -8,7 +8,9 @@ chained per template, in text and template order, and the covered share is the s
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,23 +132,66 @@ class SuffixAutomaton:
         return out
 
 
-def chained(matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-    """The chain of (text start, template start, length) that covers most: (covered, first word, end).
+def chained(matches: list[tuple[int, int, int]], window: int, least: float) -> tuple[int, list[tuple[int, int, int]]]:
+    """The most that a chain of (text start, template start, length) covers, and chains as (covered, first word, end).
 
-    Chained stretches follow each other in the text and in the template; where two
-    overlap, the later one counts with what is left of it.
+    Stretches of a chain follow each other in the text and in the template, at most
+    ``window`` words apart in the text; where two overlap, the later one counts with what is
+    left of it. The chain that covers most (then the shortest, then the first) is taken, and
+    again among the stretches beside it, as long as one covers ``least``. ``matches`` are sorted.
     """
-    best: list[tuple[int, int, int]] = []
-    top = (0, 0, 0)
-    for j, (text, place, size) in enumerate(matches):
-        here = (size, text, text + size)
-        for (t, p, s), (covered, first, _) in zip(matches[:j], best, strict=True):
+    starts = [m[0] for m in matches]
+    reach = window + max((m[2] for m in matches), default=0)
+    best: list[tuple[int, int] | None] = [None] * len(matches)
+    ends: list[int] = []  # of the chains taken, sorted
+    queue: list[tuple[int, int, int, int]] = []
+
+    def follow(j: int) -> tuple[int, int]:
+        """Most covered, then latest first word, of the chains that end with stretch j."""
+        text, place, size = matches[j]
+        k = bisect_right(ends, text)
+        floor = max(text - reach, ends[k - 1] if k else 0)
+        here = (size, text)
+        for i in range(j - 1, -1, -1):
+            t, p, s = matches[i]
+            if t < floor:
+                break
             cut = max(0, t + s - text, p + s - place)
-            if t < text and p < place and cut < size and covered + size - cut > here[0]:
-                here = (covered + size - cut, first, text + size)
-        best.append(here)
-        top = max(top, here, key=lambda x: x[0])
-    return top
+            if best[i] and t < text and p < place and cut < size and text - (t + s) <= window:
+                here = max(here, (best[i][0] + size - cut, best[i][1]))
+        return here
+
+    def keep(j: int, here: tuple[int, int]) -> None:
+        best[j] = here
+        end = matches[j][0] + matches[j][2]
+        if here[0] >= least:
+            heappush(queue, (-here[0], end - here[1], here[1], j))
+
+    for j in range(len(matches)):
+        keep(j, follow(j))
+    most = max((x[0] for x in best), default=0)
+    taken = []
+    while queue:
+        covered, width, first, j = heappop(queue)
+        if best[j] != (-covered, first):
+            continue
+        end = first + width
+        taken.append((-covered, first, end))
+        insort(ends, end)
+        # What overlaps the chain is used up. Stretches after it lose what led up to them; beyond
+        # their reach from the last one that changed, all stays as it is.
+        changed = end
+        for i in range(bisect_right(starts, first - reach - 1), len(matches)):
+            text, _, size = matches[i]
+            if text > changed + reach:
+                break
+            if text < end:
+                if text + size > first:
+                    best[i] = None
+            elif best[i] and (here := follow(i)) != best[i]:
+                keep(i, here)
+                changed = text
+    return most, taken
 
 
 class LicenseScanner:
@@ -202,19 +247,10 @@ class LicenseScanner:
                     by_template.setdefault(k, []).append((i - length + 1, end - length + 1, length))
         score, spans = 0.0, []
         for k, matches in sorted(by_template.items()):
-            matches.sort()
             size = self.sizes[k]
-            group = [matches[0]]
-            for m in [*matches[1:], None]:
-                # A notice stands together: a gap beyond the window starts another one.
-                if m is None or m[0] - (group[-1][0] + group[-1][2]) > self.window or len(group) >= 4 * size:
-                    covered, first, end = chained(group)
-                    score = max(score, covered / size)
-                    if covered >= self.share * size:
-                        spans.append({"label": self.labels[k], "start": first, "end": end, "coverage": covered / size})
-                    group = []
-                if m is not None:
-                    group.append(m)
+            most, chains = chained(sorted(matches), self.window, self.share * size)
+            score = max(score, most / size)
+            spans += [{"label": self.labels[k], "start": a, "end": b, "coverage": c / size} for c, a, b in chains]
         return min(1.0, score), sorted(spans, key=lambda s: (s["start"], s["label"], s["end"]))
 
 
@@ -243,7 +279,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with words, phrase places, labels, score and covered template spans (in words).
 
     A template's label is given where a chain of stretches of at least ``least`` words,
-    no further than ``window`` words apart, covers ``share`` of it. The score is the best
+    no further than ``window`` words apart, covers ``share`` of it; each such notice has
+    its span, in texts of any length and however many fragments stand around it. The score is the best
     covered share, and 1 where a phrase of the base search stands. NULL and empty
     texts have no words, no labels and score 0. Columns of the result's names are replaced.
     Rows are scanned one by one, so long texts and repeated rows gather nowhere.

@@ -197,6 +197,59 @@ def test_matching_statistics():
                 assert auto.ends[told[i][0]] == sorted(places)
 
 
+def all_chains(matches, window):
+    """(covered, first word, end, last stretch) of every chain, tried one by one."""
+    chains = [(size, text, text + size, (text, place, size)) for text, place, size in matches]
+    at = 0
+    while at < len(chains):
+        covered, first, end, (t, p, s) = chains[at]
+        at += 1
+        for text, place, size in matches:
+            cut = max(0, t + s - text, p + s - place)
+            if t < text and p < place and cut < size and text - (t + s) <= window:
+                chains.append((covered + size - cut, first, text + size, (text, place, size)))
+    return chains
+
+
+def plain_notices(matches, window, least):
+    best = min(((-c, e - f, f, e) for c, f, e, _ in all_chains(matches, window) if c >= least), default=None)
+    if best is None:
+        return []
+    covered, _, first, end = best
+    left = [m for m in matches if m[0] + m[2] <= first]
+    right = [m for m in matches if m[0] >= end]
+    return [(-covered, first, end), *plain_notices(left, window, least), *plain_notices(right, window, least)]
+
+
+def test_chains_against_all_chains():
+    rng = random.Random(3)
+    several = 0
+    for _ in range(1500):
+        found = {(rng.randrange(40), rng.randrange(12), rng.randrange(1, 6)) for _ in range(rng.randrange(1, 13))}
+        matches, window, least = sorted(found), rng.randrange(8), rng.randrange(1, 9)
+        most, taken = licenses.chained(matches, window, least)
+        assert most == max(c for c, *_ in all_chains(matches, window))
+        assert sorted(taken) == sorted(plain_notices(matches, window, least))
+        several += len(taken) > 2
+    assert several > 100
+
+
+def test_a_notice_after_any_number_of_fragments():
+    scan = licenses.LicenseScanner(licenses.PHRASES, licenses.TEMPLATES, 4, 0.6, 40)
+    altered = licenses.TEMPLATES["mpl"].replace("Source Code Form", "Code").replace("was not", "wasn't").replace("one at", "it at")
+    alone = scan(altered.encode())
+    assert alone[5] == ["mpl"] and alone[6] < 1
+    line = "part subject to the terms of the Mozilla Public License v 2 0 " + "other " * 20
+    for n in (10, *range(145, 165), 700):
+        text = line * n + altered + " other" * 15 + " " + altered
+        result = scan(text.encode())
+        assert result[5] == ["mpl"] and result[6] == pytest.approx(alone[6])
+        width, gap = alone[0], 15
+        assert [s["start"] // width for s in result[7]] == [
+            (len(license_words(line)) * n + x + alone[7][0]["start"]) // width for x in (0, width + gap)
+        ]
+
+
 # Quality
 
 
