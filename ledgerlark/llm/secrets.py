@@ -23,12 +23,13 @@ from ledgerlark.llm.common import per_text, with_struct
 
 @dataclass(frozen=True)
 class Rule:
-    """``head`` then ``body``; a match counts when its body has ``least`` bytes."""
+    """``head`` then ``body``, and ``tail`` if it is there; a match counts when it has ``least`` bytes after its head."""
 
     kind: str
     head: str
     body: str
     least: int = 1
+    tail: str = ""
 
 
 def either_case(words: str) -> str:
@@ -48,12 +49,25 @@ BASE_RULES = (
     Rule("access", "", "AKIA[A-Z0-9]+", 20),
     Rule("hex", "", "[0-9a-f]{24,}"),
 )
+# What follows the first line of a PEM key: fields such as DEK-Info, then base64 up to the END
+# line, also behind quotes, comment signs or escaped line breaks. Without an END line, long
+# runs of base64, a padded rest, and the lines that start with base64.
+_GAP = """[\\x20\\x09-\\x0d"'`,;>#*|&<()]"""
+_BASE64 = r"[A-Za-z0-9+/=\\]"
+_VALUE = r"[A-Za-z0-9+/=,._\x20]"
+_FIELDS = rf"(({_GAP}|\\[rn])*[A-Z][A-Za-z0-9]*(-[A-Za-z0-9]+)+:{_VALUE}*(-{_VALUE}+)*)+"
+_LINE = r"[\x20\x09]*(\x0d?\x0a|\x0d)[\x20\x09]*"
+_RUN = rf"{_GAP}*{_BASE64}{{16,}}({_GAP}+[A-Za-z0-9+/]*==?)?"
+PEM_TAIL = (
+    rf"({_FIELDS})?({_GAP}|{_BASE64})*-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(({_FIELDS})({_LINE})+{_BASE64}+)?({_RUN}|{_LINE}{_BASE64}+)*"
+)
 MORE_RULES = (
     Rule("jwt", "", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Rule("hub", "", "gh[oprsu]_[A-Za-z0-9]+", 40),
     Rule("chat", "", "xox[abprs]-[A-Za-z0-9-]+", 15),
     Rule("cloud", "", "AIza[A-Za-z0-9_-]+", 39),
-    Rule("pem", "", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", "", "-----BEGIN [A-Z ]*PRIVATE KEY-----", tail=PEM_TAIL),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -266,13 +280,17 @@ def determined(patterns: list[str], backward: bool, anywhere: bool) -> tuple[np.
 
 @lru_cache(maxsize=8)
 def automata(rules: tuple[Rule, ...]) -> tuple:
-    """The combined automaton of starts, and of each rule the automata of all of it and of its head."""
-    whole = [r.head + r.body for r in rules]
+    """The combined automaton of starts, and of each rule the automata of all of it and of its head.
+
+    A tail moves no start, so only the automaton that finds the end holds it.
+    """
+    least = [r.head + r.body for r in rules]
+    whole = [f"{x}(|{r.tail})" if r.tail else x for x, r in zip(least, rules, strict=True)]
     single = [
         (determined([w], False, False), determined([r.head], False, False) if r.head else None)
         for w, r in zip(whole, rules, strict=True)
     ]
-    return determined(whole, True, True), single
+    return determined(least, True, True), single
 
 
 def linked(moves: np.ndarray, accept: np.ndarray) -> list:
