@@ -36,6 +36,8 @@ SKETCH = 32
 LONG_SKETCH = 512
 CACHED_WORDS = 100_000
 STAR_ROUNDS = 6
+#: A sketch may miss a link at the threshold once in so many.
+MISSED = 10**12
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -110,10 +112,16 @@ def least_shared(k: int, percent: int) -> int:
     """Values that two sketches of size k share at least, for sets at the threshold.
 
     Of the k smallest values of the union each lies in both sets with a probability of the
-    similarity; six standard deviations below the mean leave out one link in 10^8.
+    similarity, drawn without replacement, so the binomial tail bounds the chance of fewer. It
+    is summed in whole numbers, and the largest bound that it leaves out with a chance of
+    at most ``MISSED`` is taken.
     """
-    j = percent / 100
-    return max(1, math.floor(k * j - 6 * math.sqrt(k * j * (1 - j))))
+    term, tail, shared = (100 - percent) ** k, 0, 0
+    while (tail + term) * MISSED <= 100**k:
+        tail += term
+        term = term * (k - shared) * percent // ((shared + 1) * (100 - percent))
+        shared += 1
+    return max(1, shared)
 
 
 def rare_lists(sketches: DataFrame, k: int, percent: int) -> DataFrame:

@@ -1,7 +1,9 @@
 """Near-duplicates against brute force over all pairs."""
 
+import math
 import random
 import re
+from fractions import Fraction
 
 import duckdb
 import pytest
@@ -79,6 +81,15 @@ def test_chosen_pairs_alone_are_enough(spark, monkeypatch):
     assert ours(spark, rows, size=3, percent=85) == plain(rows, 3, 85)
 
 
+@pytest.mark.parametrize(("k", "percent"), [(32, 85), (32, 80), (512, 85), (512, 80)])
+def test_the_bound_keeps_the_stated_error(k, percent):
+    def tail(m):  # fewer than m shared values
+        return sum(math.comb(k, i) * Fraction(percent, 100) ** i * Fraction(100 - percent, 100) ** (k - i) for i in range(m))
+
+    m = minhash.least_shared(k, percent)
+    assert tail(m) <= Fraction(1, 10**12) < tail(m + 1)
+
+
 def test_rows_without_ids_and_empty_tables(spark):
     assert ours(spark, []) == []
     df = spark.createDataFrame([(None, "a b c", "", "", "", ""), (None, None, "", "", "", "")], SCHEMA)
