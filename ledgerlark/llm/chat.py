@@ -100,11 +100,18 @@ ROLES = {"human": "user", "gpt": "assistant", "model": "assistant", "bot": "assi
 
 
 def held_paths(record: str) -> Column:
-    """The known paths that a variant column holds; a field whose value is null is there."""
+    """The known paths that a variant column holds; a field whose value is null is there.
+
+    A path through a list is held if any of the list's elements holds it.
+    """
 
     def found(path: str) -> str:
-        place = path.replace("[]", "[0]")
-        return f"IF(try_variant_get({record}, '$.{place}', 'variant') IS NOT NULL, '{path}', NULL)"
+        items, inside, field = path.partition("[].")
+        held = f"try_variant_get({record}, '$.{path}', 'variant') IS NOT NULL"
+        if inside:
+            each = f"try_variant_get({record}, '$.{items}', 'array<variant>')"
+            held = f"exists({each}, m -> try_variant_get(m, '$.{field}', 'variant') IS NOT NULL)"
+        return f"IF({held}, '{path}', NULL)"
 
     return F.expr(f"filter(array({', '.join(map(found, PATHS))}), p -> p IS NOT NULL)")
 

@@ -71,6 +71,21 @@ def test_layouts(spark):
     assert {i: (x[0], x[1]) for i, x in seen.items()} == {i: (layout, said) for i, (_, layout, said) in enumerate(RECORDS)}
 
 
+def test_fields_missing_in_some_messages(spark):
+    records = [
+        ({"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}]}, "messages", [("user", ""), ("assistant", "a")]),
+        ({"messages": [{"content": "q"}, {"role": "assistant"}]}, "messages", [("", "q"), ("assistant", "")]),
+        ({"messages": [None, {"role": "user", "content": "q"}]}, "messages", [("", ""), ("user", "q")]),
+        ({"conversations": [{"from": "human"}, 3, {"from": "gpt", "value": "a"}]}, "conversations", [("user", ""), ("", ""), ("assistant", "a")]),
+        ({"messages": [{"role": "user"}, {"role": "user"}]}, None, []),
+    ]
+    rows = [(i, json.dumps(r)) for i, (r, _, _) in enumerate(records)]
+    turns = chat.canonical_turns(spark.createDataFrame(rows, "id int, body string"), F.col("id"), F.col("body"))
+    assert {(r.conv_id, r.layout) for r in turns.collect()} == {(i, x) for i, (_, x, _) in enumerate(records)}
+    out = back(chat.render(turns))
+    assert {i: t for i, (t, _) in out.items() if t} == {i: said for i, (_, _, said) in enumerate(records) if said}
+
+
 def test_fingerprints_tell_layouts_apart(spark):
     prints = [x for layout in chat.LAYOUTS for x in layout.fingerprints()]
     assert len(set(prints)) == len(prints)
