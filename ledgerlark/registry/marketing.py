@@ -64,7 +64,7 @@ def classify_sessions(t: Tables):
 
 @query("classify_theta", _SESSION)
 def classify_theta(t: Tables):
-    """Rules read from a table and searched in blocks, as for a long taxonomy."""
+    """The sessions' query with the constant rules in blocks of four, as a long taxonomy is searched."""
     subject = session_subject(F.col("source"), F.col("medium"), F.col("campaign"))
     sessions = t["raw_sessions"].select("session_id", "source", "medium", "campaign")
     return classify(sessions, subject, per_case=4)
