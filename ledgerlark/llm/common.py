@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlark.session import written
 
-__all__ = ["per_text", "sent_along", "slices", "table", "with_struct", "written"]
+__all__ = ["batch_slices", "per_text", "sent_along", "slices", "table", "with_struct", "written"]
 
 #: Rows of two or three integers that may be sent to every executor: some tens of MB.
 SENT_ROWS = 500_000
@@ -78,3 +78,15 @@ def with_struct(df: DataFrame, column: Column, names: Iterable[str]) -> DataFram
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in lowered]
     inner = df.select(*kept, column.alias("__out"))
     return inner.select(*kept, *[F.col(f"__out.{n}").alias(n) for n in names])
+
+
+def batch_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about ``SLICE`` bytes of one text or binary column, one row at least."""
+    held = pc.binary_length(batch.column(column)).fill_null(0)
+    ends = np.cumsum(held.to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        past = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, past + SLICE)))
+        yield batch.slice(at, stop - at)
+        at = stop

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, chat, licenses, minhash, mixing, quality, secrets, topk, urls, warc
+from ledgerlark.llm import bpe, chat, divergence, licenses, minhash, mixing, packing, quality, secrets, topk, urls, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,6 +254,72 @@ FROM counted GROUP BY conv_id
 """
 
 
+@query
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
+ORACLES["op12_divergence"] = r"""
+WITH words AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+sources AS (SELECT DISTINCT lang, source FROM words),
+kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM words) GROUP BY ALL HAVING count(*) >= 10
+),
+found AS (SELECT lang, source, unnest(w) AS term FROM words),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grid AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n
+    FROM sources s JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+p AS (
+    SELECT lang, source, term, n,
+           1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+    FROM grid JOIN vocabulary USING (lang)
+),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL) JOIN vocabulary USING (lang)
+),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(apart.value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+),
+own AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN whole USING (lang, term)
+    WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT * FROM (
+        SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM own
+    ) WHERE rank <= 10
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+"""
+
+
+@query
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
