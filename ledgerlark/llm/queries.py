@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, chat, divergence, licenses, minhash, mixing, packing, quality, secrets, topk, urls, warc
+from ledgerlark.llm import bpe, chat, divergence, licenses, minhash, mixing, packing, quality, repair, secrets, topk, urls, warc
 from ledgerlark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,6 +254,120 @@ FROM counted GROUP BY conv_id
 """
 
 
+@query
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    fixed = repair.Repair(repair.damage(rows))
+    hashes = repair.digests(fixed.turns).withColumnRenamed("conv_id", "h")
+    reports = fixed.conversations.withColumnRenamed("conv_id", "c")
+    every = rows.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    out = every.join(reports, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    out = out.join(hashes, F.col("conv_id").eqNullSafe(F.col("h")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+# crc32 byte by byte; costs backwards and choices forwards, one row of every conversation at a time.
+# States: 0 nothing said, 1 system, 2 user, 3 assistant.
+ORACLES["op11_repair"] = r"""
+WITH RECURSIVE remainders AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t
+),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_reduce([4294967295::UBIGINT] || list_transform(
+               string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::UBIGINT),
+               lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])) AS crc
+    FROM conversations, remainders
+),
+drawn AS (SELECT *, xor(crc, 4294967295::UBIGINT) % 20 AS d FROM keyed),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+           CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM drawn WHERE d <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS said
+    FROM damaged
+),
+faulty AS (
+    SELECT *, left(role, 1) AS initial,
+           CASE WHEN said = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+),
+counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulty GROUP BY conv_id
+),
+priced AS (
+    SELECT conv_id, i, role, text, fault IN ('none', 'truncated') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more,
+           CASE WHEN fault IN ('none', 'truncated') THEN initial ELSE '' END AS initial
+    FROM faulty
+),
+costs(conv_id, i, v0, v1, v2, v3) AS (
+    SELECT conv_id, n + 1, 0::BIGINT, 6::BIGINT, 3::BIGINT, 0::BIGINT FROM counted
+    UNION ALL
+    SELECT conv_id, i, least(r0, 3 + r2, 6 + r3), least(r1, 3 + r2, 6 + r3), least(r2, 3 + r3), least(r3, 3 + r2) FROM (
+        SELECT p.conv_id, p.i,
+               least(4 + v0, CASE WHEN stays THEN 3 + more + v2 END, CASE initial WHEN 's' THEN more + v1 WHEN 'u' THEN more + v2 END) AS r0,
+               least(4 + v1, CASE WHEN stays THEN 3 + more + v2 END, CASE initial WHEN 'u' THEN more + v2 END) AS r1,
+               least(4 + v2, CASE WHEN stays THEN 3 + more + v3 END, CASE initial WHEN 'a' THEN more + v3 END) AS r2,
+               least(4 + v3, CASE WHEN stays THEN 3 + more + v2 END, CASE initial WHEN 'u' THEN more + v2 END) AS r3
+        FROM costs c JOIN priced p ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.i - 1
+    )
+),
+vectors AS (SELECT conv_id, i, [v0, v1, v2, v3] AS v FROM costs),
+walk(conv_id, i, s, audit, said) AS (
+    SELECT conv_id, 1::BIGINT, 1, '', []::VARCHAR[] FROM counted
+    UNION ALL
+    SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+           CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE made END, audit || edit,
+           CASE edit WHEN 'D' THEN said WHEN 'K' THEN said || [role || ':' || text]
+                     WHEN 'I' THEN said || [CASE made WHEN 3 THEN 'user:' ELSE 'assistant:' END]
+                     ELSE said || [CASE made WHEN 3 THEN 'user:' ELSE 'assistant:' END || text] END
+    FROM (
+        SELECT *, CASE WHEN p_i IS NOT NULL AND 4 + after[s] = v[s] THEN 'D'
+                       WHEN 3 + v[made] = v[s] THEN 'I'
+                       WHEN kept IS NOT NULL AND more + after[kept] = v[s] THEN 'K'
+                       WHEN p_i IS NOT NULL THEN 'R' END AS edit
+        FROM (
+            SELECT w.*, c.v, a.v AS after, p.i AS p_i, p.role, p.text, p.more,
+                   CASE w.s WHEN 3 THEN 4 ELSE 3 END AS made,
+                   CASE WHEN p.initial = 's' AND w.s = 1 THEN 2 WHEN p.initial = 'u' AND w.s <> 3 THEN 3
+                        WHEN p.initial = 'a' AND w.s = 3 THEN 4 END AS kept
+            FROM walk w
+            JOIN vectors c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.i = w.i
+            LEFT JOIN vectors a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.i = w.i + 1
+            LEFT JOIN priced p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i
+        )
+    ) WHERE edit IS NOT NULL
+),
+finished AS (SELECT conv_id, max_by(audit, length(audit)) AS audit, max_by(said, length(audit)) AS said FROM walk GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v.v[1], 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM every e
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN vectors v ON v.conv_id IS NOT DISTINCT FROM e.conv_id AND v.i = 1
+LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 @query
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
