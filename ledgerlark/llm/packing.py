@@ -8,7 +8,8 @@ below one node meet, are best-fitted again whole, and so on to the root.
 What goes up is bounded without losing anything. Best fit leaves no two bins of a node that
 would fit together, so at most one of them is half full or less, and only that one can find
 a place elsewhere. A node meets ``FAN`` of those at most, so if each child sends its
-``CARRIED`` least filled bins, there are always more hosts than guests. The rest is emitted.
+``CARRIED`` least filled bins, there are always more hosts than guests. The rest is emitted. As bins
+stay whole, a leaf can cost up to half a bin against one task with everything, so leaves are many bins large.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from ledgerlark.llm.common import batch_slices, written
 CAPACITY = 4096
 #: The id that ends every document.
 END = 1
-#: Pieces that a leaf holds on average, children of a node, and bins that a child sends up at most.
-LEAF = 16_384
+#: Pieces and sequences' worth of ids that a leaf holds on average at most, children of a node, and bins that a child sends up at most.
+LEAF = 131_072
+LEAF_BINS = 1024
 FAN = 16
 CARRIED = 1024
 #: A bin with this share of its room taken is nearly full.
@@ -216,7 +218,7 @@ def _merged(capacity: int, carried: int):
 
 
 def pack(
-    items: DataFrame, capacity: int = CAPACITY, leaf: int = LEAF, fan: int = FAN, carried: int = CARRIED
+    items: DataFrame, capacity: int = CAPACITY, leaf: int = LEAF, leaf_bins: int = LEAF_BINS, fan: int = FAN, carried: int = CARRIED
 ) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset``: packed into sequences of at most ``capacity``.
 
@@ -224,8 +226,8 @@ def pack(
     repeated rows all get a place of their own; which of equal ones goes where is arbitrary. Offsets of a
     sequence are gapless from 0; sequence ids are unique, not consecutive. Columns called
     ``sequence_id`` or ``offset`` are replaced, others are carried along. An empty table stays empty. A leaf
-    takes ``leaf`` items on average, dealt by a hash of their row number, so no key and no group of
-    copies meets in one task.
+    takes ``leaf`` items and ``leaf_bins`` times the capacity on average at most, dealt by a hash of their row
+    number, so no key and no group of copies meets in one task.
     """
     dropped = {"sequence_id", "offset", "__item", "leaf", "bin", "at", "open"}
     items = items.select(*[F.col(f"`{c}`") for c in items.columns if c.lower() not in dropped])
@@ -234,7 +236,8 @@ def pack(
     checked = F.when(fine, F.col("length")).otherwise(F.raise_error(F.lit("length must be from 1 to the capacity")))
     items = items.withColumn("length", F.coalesce(checked, F.lit(0)).cast("bigint"))
     items = written(items.withColumn("__item", F.monotonically_increasing_id()), "pack-items")
-    leaves = max(1, -(-items.count() // leaf))
+    sizes = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("ids")).first()
+    leaves = max(1, -(-sizes["n"] // leaf), -(-sizes["ids"] // (leaf_bins * capacity)))
 
     dealt = items.withColumn("leaf", F.pmod(F.xxhash64("__item"), F.lit(leaves))).drop("__item")
     schema = StructType.fromJson(dealt.drop("leaf").schema.jsonValue())
