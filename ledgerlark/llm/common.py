@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from ledgerlark.session import written
+from ledgerlark.session import delete_path, scratch_path, written
 
-__all__ = ["batch_slices", "per_text", "sent_along", "slices", "table", "with_struct", "written"]
+__all__ = ["Scratch", "batch_slices", "per_text", "sent_along", "slices", "table", "with_struct", "written"]
 
 #: Rows of two or three integers that may be sent to every executor: some tens of MB.
 SENT_ROWS = 500_000
@@ -26,6 +26,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+class Scratch:
+    """Tables that are written anew turn by turn: storing one under a name removes the one before.
+
+    The table before may still be read while the new one is written, and not afterwards.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if path := self.paths.pop(name, None):
+                delete_path(self.spark, path)
+
+
 def sent_along(stored: DataFrame, rows: int | None = None) -> DataFrame:
     """A stored table of ids, marked to be sent to all executors if it is counted to be small.
 

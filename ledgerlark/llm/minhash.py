@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from ledgerlark.llm.common import sent_along, slices, written
+from ledgerlark.llm.common import Scratch, sent_along, slices, written
 from ledgerlark.llm.graph import components
 
 SKETCH = 32
@@ -185,22 +185,42 @@ def open_lists(lists: DataFrame) -> DataFrame:
     return lists.join(tops, "v").withColumn("minor", F.col("comp") != F.col("top")).drop("top")
 
 
+def first_meetings(lists: DataFrame) -> DataFrame:
+    """The lists without repeats, each row with ``prior``: the earlier listed values of its class.
+
+    Of lists with the same members only the first is kept: members agree on the order of the values they
+    share, so the first value that two of them share is never one that is left out. Members are told by two sums
+    of 64-bit hashes, so the lists need not be gathered. A class has fewer than ``LONG_SKETCH`` listed values.
+    """
+    sums = [F.sum(F.xxhash64("cls", F.lit(seed)).cast("decimal(38,0)")).alias(f"s{seed}") for seed in (1, 2)]
+    by = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c"), *sums, F.min(F.struct("cls", "place")).alias("m"))
+    kept = by.groupBy("c", "s1", "s2").agg(F.min(F.struct("m.place", "v")).alias("first")).select("first.v")
+    held = lists.join(kept, "v", "left_semi")
+    held = held.groupBy("cls", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("place", "v", "minor"))).alias("l"))
+    rows = held.select("cls", "n", "comp", "l", F.posexplode("l").alias("at", "x"))
+    prior = F.slice(F.transform("l", lambda x: x["v"]), F.lit(1), F.col("at"))
+    return rows.select("x.v", "cls", "n", "x.place", "comp", "x.minor", prior.alias("prior"))
+
+
 def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
     """All pairs (a < b) that share a list, may reach the threshold and are in different components.
 
     One side is always outside the list's largest component, so a large group of copies
-    is met by outsiders and never by itself.
+    is met by outsiders and never by itself. A pair is made in the list of its first shared value alone, so
+    once, however many values it shares.
     """
-    left = lists.where("minor").select("v", *[F.col(c).alias(f"x{c}") for c in ("cls", "n", "place", "comp")])
+    lists = first_meetings(lists)
+    left = lists.where("minor").select("v", *[F.col(c).alias(f"x{c}") for c in ("cls", "n", "place", "comp", "prior")])
     once = ~F.col("minor") | (F.col("xcls") < F.col("cls"))
     may = may_reach(F.col("xn"), F.col("xplace"), F.col("n"), F.col("place"), k, percent)
-    met = left.join(lists, "v").where((F.col("xcomp") != F.col("comp")) & once & may)
+    new = ~F.arrays_overlap("xprior", "prior")
+    met = left.join(lists, "v").where((F.col("xcomp") != F.col("comp")) & once & may & new)
     return met.select(F.least("xcls", "cls").alias("a"), F.greatest("xcls", "cls").alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; most others fall by the estimate of the union's sketch."""
-    pairs = sent_along(written(pairs, "near-pairs"))
+def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch."""
+    pairs = sent_along(scratch.stored(pairs, "near-pairs"))
 
     def side(name: str, column: str) -> DataFrame:
         return sets.select(F.col("cls").alias(name), F.col(column).alias(f"s{name}"))
@@ -211,10 +231,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFr
     enough = F.when(F.col("u") < k, F.col("s") * 100 >= F.col("u") * percent).otherwise(
         F.col("s") >= least_shared(k, percent)
     )
-    pairs = sent_along(written(met.where(enough).select("a", "b"), "near-likely"))
+    pairs = sent_along(scratch.stored(met.where(enough).select("a", "b"), "near-likely"))
     met = pairs.join(side("a", "set"), "a").join(side("b", "set"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return met.where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b").distinct()
+    met = met.where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b").distinct()
+    links = written(met, "near-links")
+    scratch.drop("near-pairs", "near-likely")
+    return links
 
 
 def same_id_links(live: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -259,27 +282,29 @@ def near_duplicates(
     texts = docs.where("doc_id IS NOT NULL").join(listed, "doc_id", "left_semi")
     sets = texts.select(F.col("doc_id").alias("cls"), full_sets(size)(F.col("text")).alias("set")).where("size(set) > 0")
     sets = sets.select("cls", F.size("set").cast("bigint").alias("n"), F.slice("set", 1, long_k).alias("sketch"), "set")
-    sets = written(sets, "near-sets")
+    scratch = Scratch(docs.sparkSession)
+    sets = scratch.stored(sets, "near-sets")
 
-    lists = written(rare_lists(sets.select("cls", "n", "sketch"), long_k, percent), "near-lists")
+    lists = scratch.stored(rare_lists(sets.select("cls", "n", "sketch"), long_k, percent), "near-lists")
     lists = lists.withColumn("comp", F.col("cls"))
-    links = same_id_links(live, reps)
-    joined = None
+    links, joined = same_id_links(live, reps), None
     for turn in range(STAR_ROUNDS + 1):
-        lists = written(open_lists(lists), "near-open")
+        lists = scratch.stored(open_lists(lists), "near-open")
+        scratch.drop("near-lists")
         by = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c"), F.count_if("minor").alias("m"))
         todo = by.agg(F.sum(F.col("c") * F.col("m")).alias("pairs"), F.sum("c").alias("members")).first()
         if not todo["pairs"]:
             break
         last = turn > 0 and (todo["pairs"] <= 1000 * todo["members"] or turn == STAR_ROUNDS)
         pairs = other_pairs(lists, long_k, percent) if last else star_pairs(lists.drop("minor"), long_k, percent, turn)
-        found = written(confirmed(pairs, sets, long_k, percent), "near-links")
+        found = confirmed(pairs, sets, long_k, percent, scratch)
         links = found if links is None else links.union(found)
-        joined = written(components(links), "near-components")
+        joined = scratch.stored(components(links), "near-components")
         if last:
             break
         now = lists.drop("comp", "minor").join(joined, F.col("cls") == F.col("node"), "left")
         lists = now.select("v", "cls", "n", "place", F.coalesce("component", "cls").alias("comp"))
+    scratch.drop("near-open", "near-sets")
 
     classes = reps.select("set_key", "cls")
     if links is not None:

@@ -4,6 +4,7 @@ import math
 import random
 import re
 from fractions import Fraction
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -81,6 +82,56 @@ def test_chosen_pairs_alone_are_enough(spark, monkeypatch):
     assert ours(spark, rows, size=3, percent=85) == plain(rows, 3, 85)
 
 
+def relatives(rng, families=6, members=7, length=900):
+    """Long texts that share most of their words in one or two stretches: similarities from 0.6 to 0.95."""
+    rows = []
+    for f in range(families):
+        base = [f"f{f}x{rng.randrange(10**6)}" for _ in range(length)]
+        for m in range(members):
+            own = int(length * rng.choice([0.01, 0.03, 0.05, 0.08, 0.12, 0.16, 0.2]))
+            at = rng.randrange(length - own)
+            text = [*base[:at], *[f"f{f}m{m}x{i}" for i in range(own)], *base[at + own :]]
+            rows.append((100 * f + m, " ".join(text)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_long_relatives_around_the_threshold(spark):
+    """Sets beyond a long sketch, most pairs just too different to be links."""
+    rows = relatives(random.Random(8))
+    expected = plain(rows, 3, 85)
+    assert ours(spark, rows, size=3, percent=85) == expected
+    assert 6 < len({c for _, _, c, _ in expected}) < len(rows)
+
+
+def test_a_pair_is_made_once(spark):
+    """In the list of its first shared value, and repeats of a list lose no pair."""
+    rng = random.Random(3)
+    rows, values = [], [rng.randrange(-(2**62), 2**62) for _ in range(120)]
+    for cls in range(40):
+        listed = sorted(rng.sample(range(120), 30)) if cls % 3 else list(range(cls, cls + 30))
+        rows += [(values[v], cls, 100, place + 1, cls, True) for place, v in enumerate(listed)]
+    lists = spark.createDataFrame(rows, "v bigint, cls bigint, n bigint, place int, comp bigint, minor boolean")
+    plain_pairs = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1]}
+    kept = minhash.first_meetings(lists).collect()
+    by = {}
+    for r in kept:
+        by.setdefault(r.v, []).append(r)
+    made = [(a.cls, b.cls) for m in by.values() for a in m for b in m if a.cls < b.cls and not set(a.prior) & set(b.prior)]
+    assert len(made) == len(set(made)) and set(made) == plain_pairs
+    assert {tuple(r) for r in minhash.other_pairs(lists, 512, 1).collect()} <= plain_pairs
+
+
+def test_scratch_tables_of_past_turns_are_removed(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    rows = relatives(random.Random(2), families=3)
+    assert ours(spark, rows, size=3, percent=85) == plain(rows, 3, 85)
+    left = [p.name.rsplit("-", 1)[0] for p in shared.iterdir() if p.name not in before]
+    assert left.count("near-components") <= 1 and "near-classes" in left
+    assert not {"near-open", "near-pairs", "near-likely", "near-sets", "near-lists"} & set(left)
+
+
 @pytest.mark.parametrize(("k", "percent"), [(32, 85), (32, 80), (512, 85), (512, 80)])
 def test_the_bound_keeps_the_stated_error(k, percent):
     def tail(m):  # fewer than m shared values
