@@ -14,17 +14,22 @@ stay whole, a leaf can cost up to half a bin against one task with everything, s
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
+from ledgerlark.llm.bpe import byte_alphabet
 from ledgerlark.llm.common import batch_slices, written
 
 CAPACITY = 4096
@@ -40,11 +45,50 @@ NEARLY = 0.99
 CACHED_WORDS = 300_000
 CACHED_LENGTH = 64
 
+#: Characters that Unicode composition leaves alone and that have one lower case: ASCII and most of Latin.
+_PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
+# Fixed value: the steps of a tokenizer file that a word of plain characters can be taken through one by one.
+_STEPS = (
+    ["NFC", ("Replace", {"Regex": r"\s+"}, " "), "Lowercase"],
+    [("Split", "Removed", True), ("ByteLevel", False, False)],
+)
+
+
+def _steps(spec: dict) -> tuple[list, list]:
+    normal = [
+        x["type"] if x["type"] != "Replace" else (x["type"], x["pattern"], x["content"])
+        for x in (spec.get("normalizer") or {}).get("normalizers", [])
+    ]
+    split = [
+        (x["type"], x["behavior"], x["invert"]) if x["type"] == "Split" else (x["type"], x.get("add_prefix_space"), x.get("use_regex"))
+        for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    ]
+    return normal, split
+
+
+class _Pieces(dict):
+    """Packed ids of the pieces that a word is split into, by the model of the tokenizer."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize = tokenize
+        self.letters = {b: c for b, c in byte_alphabet().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        ids = self[piece] = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+        return ids
+
+
 class _Words(dict):
     """Packed ids of words, that is of runs without white space, as the tokenizers library gives them.
 
     The tokenizer drops white space and lets nothing reach across it, so a text's ids are those of its
-    words one after the other. Words are kept while a worker lives, within a bound.
+    words one after the other. Words of plain characters go to the library's model piece by piece, which spares
+    the steps that do nothing to them; others go through the whole library. Both kinds are kept while a
+    worker lives, within a bound.
     """
 
     def __init__(self, definition: str):
@@ -52,27 +96,34 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        spec = json.loads(definition)
         self.tokenizer = Tokenizer.from_str(definition)
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
+        self.split = None
+        if _steps(spec) == _STEPS and spec["model"]["type"] == "BPE" and not spec.get("post_processor"):
+            self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+            self.pieces = _Pieces(self.tokenizer.model.tokenize)
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if self.split and _PLAIN(text) and not self.added(text):
+            lower = text.lower()
+            if lower.isalpha():  # the commonest words are split without the pattern
+                ids = self.pieces[lower]
+            elif lower[:-1].isalpha() and lower[-1] in ".,;:!?":
+                ids = self.pieces[lower[:-1]] + self.pieces[lower[-1]]
+            else:
+                ids = b"".join(map(self.pieces.__getitem__, self.split(lower)))
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(word) <= CACHED_LENGTH:
+            self[word] = ids
+        return ids
 
-    def _of(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in self}
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = {w for words in split for w in words}
-        some = list(new)
-        self.update(zip(some, self._of(some), strict=True))
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
-        for w in some:
-            if len(w) > CACHED_LENGTH:
-                del self[w]
-        if len(self) > CACHED_WORDS:  # one slice held more than may be kept
+    def encode(self, text: bytes) -> bytes:
+        if len(self) >= CACHED_WORDS:
             self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _encoders: dict[int, _Words] = {}
@@ -129,10 +180,9 @@ def pieces(
         encoder = _encoder(shared)
         for batch in batches:
             for some in batch_slices(batch, 1):
-                texts = [x or b"" for x in some.column(1).cast(pa.binary()).to_pylist()]
                 out = []
-                for doc, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                    ids += last
+                for doc, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    ids = encoder.encode(text or b"") + last
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part), part))

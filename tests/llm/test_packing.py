@@ -57,18 +57,31 @@ def check_places(rows, capacity):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aAé'ls 9,.!<|>\n\t\x0b\x0c\r\x1c\x85\xa0 ́İΣ日😀�\x00")))
 def test_words_one_by_one_are_the_whole_text(tokenizer, encoder, text):
-    (got,) = encoder.encode([text.encode()])
+    got = encoder.encode(text.encode())
     assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_plain_character(tokenizer, encoder):
+    plain = [chr(c) for c in range(0x250) if packing._PLAIN(chr(c))]
+    assert len(plain) > 300
+    for c in plain:
+        for text in (c, f"a{c}b{c}{c}", f"{c}7{c}.{c}'s", f"{c}\u0301"):
+            assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_whole_texts(spark, tokenizer, encoder):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").where("text IS NOT NULL").collect()
+    for (text,) in docs:
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_word_cache_is_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 5)
     encoder = packing._Words(tokenizer.to_str())
-    texts = [b"a b c", b"d e f a", b"x" * 100 + b" " + b"x" * 100, b"", b" ".join(b"%d" % i for i in range(50)), b"a a"]
-    for some in ([t] for t in texts):
-        (got,) = encoder.encode(some)
-        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(some[0].decode(), add_special_tokens=False).ids
-        assert len(encoder) <= 5 and b"x" * 100 not in encoder
+    for text in ["a b c", "d e f a", "x" * 100 + " " + "x" * 100, "", " ".join(map(str, range(50))), "a a"]:
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert b"x" * 100 not in encoder and len(encoder.pieces) <= 5
+    assert len(encoder) <= 5
 
 
 ROWS = [(1, "Hello, world's <|endoftext|> end"), (1, "Hello, world's <|endoftext|> end"), (None, "x y"), (None, None), (2, ""), (3, " \n"), (4, "word " * 30_000)]
