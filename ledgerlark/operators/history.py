@@ -21,8 +21,8 @@ def _version(columns: list[str], source: str, updated: Column, scd: Column, star
     )
 
 
-def _merge(
-    history: DataFrame,
+def _changes(
+    still_open: DataFrame,
     incoming: DataFrame,
     keys: list[str],
     changed: Column,
@@ -30,10 +30,9 @@ def _merge(
     run_at: Column,
     close_missing: bool,
 ) -> DataFrame:
+    """The open versions and the new ones after a run, with ``change``: kept, closed or opened."""
     columns = incoming.columns
-    still_open = history.where(F.col("valid_to").isNull()).withColumn("__there", F.lit(True))
-    closed = history.where(F.col("valid_to").isNotNull()).select(*columns, *VALIDITY)
-    joined = still_open.alias("old").join(
+    joined = still_open.withColumn("__there", F.lit(True)).alias("old").join(
         incoming.withColumn("__there", F.lit(True)).alias("new"),
         all_of([F.col(f"old.`{k}`").eqNullSafe(F.col(f"new.`{k}`")) for k in keys]),
         "full_outer",
@@ -42,20 +41,44 @@ def _merge(
     has_old, has_new = F.col("old.__there").isNotNull(), F.col("new.__there").isNotNull()
     forever = F.lit(None).cast("timestamp")
 
-    def kept(end: Column) -> Column:
+    def told(change: str, version: Column) -> Column:
+        return F.struct(F.lit(change).alias("change"), version.alias("v"))
+
+    def old(end: Column) -> Column:
         return _version(columns, "old", F.col("old.updated_at"), F.col("old.scd_id"), F.col("old.valid_from"), end)
 
     scd = surrogate_key(*[F.col(f"new.`{k}`") for k in keys], F.date_format(updated, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    opened = _version(columns, "new", updated, scd, updated, forever)
-    missing_end = run_at if close_missing else forever
+    opened = told("opened", _version(columns, "new", updated, scd, updated, forever))
+    kept = told("kept", old(forever))
     # Each joined pair yields one or two versions, so the join runs once.
     versions = (
-        F.when(has_old & has_new & changed, F.array(kept(updated), opened))
-        .when(has_old & has_new, F.array(kept(forever)))
+        F.when(has_old & has_new & changed, F.array(told("closed", old(updated)), opened))
+        .when(has_old & has_new, F.array(kept))
         .when(has_new, F.array(opened))
-        .otherwise(F.array(kept(missing_end)))
+        .otherwise(F.array(told("closed", old(run_at)) if close_missing else kept))
     )
-    return joined.select(F.explode(versions).alias("v")).select("v.*").unionByName(closed)
+    return joined.select(F.explode(versions).alias("x")).select("x.v.*", "x.change")
+
+
+def check_changes(
+    still_open: DataFrame, incoming: DataFrame, keys: list[str], check: list[str], run_at: Column, close_missing: bool = True
+) -> DataFrame:
+    """What a run by :func:`snapshot_by_check` makes of the open versions."""
+    same = all_of([F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in check])
+    return _changes(still_open, incoming, keys, ~same, run_at, run_at, close_missing)
+
+
+def timestamp_changes(
+    still_open: DataFrame, incoming: DataFrame, keys: list[str], updated_at: str, run_at: Column, close_missing: bool = True
+) -> DataFrame:
+    """What a run by :func:`snapshot_by_timestamp` makes of the open versions."""
+    stamp = F.col(f"new.`{updated_at}`").cast("timestamp")
+    return _changes(still_open, incoming, keys, stamp > F.col("old.updated_at"), stamp, run_at, close_missing)
+
+
+def _with_closed(changes: DataFrame, history: DataFrame, incoming: DataFrame) -> DataFrame:
+    closed = history.where(F.col("valid_to").isNotNull()).select(*incoming.columns, *VALIDITY)
+    return changes.drop("change").unionByName(closed)
 
 
 def empty_history(incoming: DataFrame) -> DataFrame:
@@ -82,8 +105,9 @@ def snapshot_by_timestamp(
     ``incoming`` otherwise counts as deleted.
     """
     history = empty_history(incoming) if history is None else history
-    stamp = F.col(f"new.`{updated_at}`").cast("timestamp")
-    return _merge(history, incoming, keys, stamp > F.col("old.updated_at"), stamp, run_at, close_missing)
+    still_open = history.where(F.col("valid_to").isNull())
+    changes = timestamp_changes(still_open, incoming, keys, updated_at, run_at, close_missing)
+    return _with_closed(changes, history, incoming)
 
 
 def snapshot_by_check(
@@ -96,8 +120,8 @@ def snapshot_by_check(
 ) -> DataFrame:
     """New version only when one of the ``check`` columns changes (NULL-safe)."""
     history = empty_history(incoming) if history is None else history
-    same = all_of([F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in check])
-    return _merge(history, incoming, keys, ~same, run_at, run_at, close_missing)
+    still_open = history.where(F.col("valid_to").isNull())
+    return _with_closed(check_changes(still_open, incoming, keys, check, run_at, close_missing), history, incoming)
 
 
 def as_of(facts: DataFrame, history: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
