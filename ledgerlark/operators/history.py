@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.functions.keys import surrogate_key
 from ledgerlark.operators.joins import all_of
+from ledgerlark.session import written
 
 VALIDITY = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -125,12 +127,60 @@ def snapshot_by_check(
 
 
 def as_of(facts: DataFrame, history: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
-    """Facts with the ``columns`` of the version valid at their own time ``at``."""
-    versions = history.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys], "valid_from", "valid_to", *columns
+    """Facts with the ``columns`` of the version valid at their own time ``at``, NULL where there is none.
+
+    Facts and versions are sorted together by key and time over the whole table, and every fact takes the last
+    version before it that its partition holds. What a partition ends with is handed to the next ones, one row per
+    key and partition, so no fact is paired with all versions of its key and a key with very many of
+    both spans as many tasks as it needs. Versions of a key must not overlap, as those of a history don't; of
+    several that start at the same time the one that ends last counts. NULL key parts equal each other, as in
+    the history; a fact without a time has no version.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    version = F.struct("valid_to", *[F.col(f"`{c}`") for c in columns])
+    carried = T.StructType([history.schema["valid_to"], *[history.schema[c] for c in columns]])
+    row = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    ended = F.coalesce(F.col("valid_to"), F.lit("9999-12-31").cast("timestamp"))
+    kind = history.schema["valid_from"].dataType
+    versions = history.where("valid_from IS NOT NULL").select(
+        *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)],
+        F.col("valid_from").alias("__at"),
+        ended.alias("__ended"),  # a version comes before the facts of its first moment
+        version.alias("__version"),
+        F.lit(None).cast(facts.schema).alias("__fact"),
+    )
+    asked = facts.select(
+        *[F.col(f"`{k}`").cast(history.schema[k].dataType).alias(n) for k, n in zip(keys, names, strict=True)],
+        F.col(f"`{at}`").cast(kind).alias("__at"),
+        F.lit(None).cast("timestamp").alias("__ended"),
+        F.lit(None).cast(carried).alias("__version"),
+        row.alias("__fact"),
+    )
+    order = [*[F.asc_nulls_first(n) for n in names], F.asc_nulls_first("__at"), F.asc_nulls_last("__ended")]
+    placed = versions.unionByName(asked).withColumn("__nr", F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(*order, "__nr").withColumn("__part", F.spark_partition_id()).drop("__nr")
+    placed = written(placed, "as-of")  # the cut into partitions is read several times
+
+    before = Window.partitionBy("__part", *names).orderBy(*order[len(names) :]).rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("__last", F.last("__version", ignorenulls=True).over(before))
+    # What each partition hands on: its last version of each key. A key has one row per partition that it is in.
+    latest = F.max_by("__version", F.struct("__at", "__ended")).alias("__handed")
+    ends = placed.where("__version IS NOT NULL").groupBy("__part", *names).agg(latest)
+    spans = placed.groupBy("__part", *names).agg(F.count(F.lit(1)).alias("__rows"))
+    same = [F.col(f"s.{n}").eqNullSafe(F.col(f"e.{n}")) for n in names]
+    spans = spans.alias("s").join(ends.alias("e"), all_of([F.col("s.__part") == F.col("e.__part"), *same]), "left")
+    earlier = Window.partitionBy(*[F.col(f"s.{n}") for n in names]).orderBy("s.__part").rowsBetween(Window.unboundedPreceding, -1)
+    handed = spans.select(
+        F.col("s.__part").alias("__p"),
+        *[F.col(f"s.{n}").alias(f"{n}h") for n in names],
+        F.last("__handed", ignorenulls=True).over(earlier).alias("__before"),
+    ).where("__before IS NOT NULL")
+
+    answered = placed.where("__fact IS NOT NULL").join(
+        handed, all_of([F.col("__part") == F.col("__p"), *[F.col(n).eqNullSafe(F.col(f"{n}h")) for n in names]]), "left"
+    )
+    found = F.coalesce("__last", "__before")
+    valid = F.col("__at").isNotNull() & (found["valid_to"].isNull() | (F.col("__at") < found["valid_to"]))
+    return answered.select("__fact.*", F.when(valid, found).alias("__found")).select(
+        *[F.col(f"`{c}`") for c in facts.columns], *[F.col(f"__found.`{c}`").alias(c) for c in columns]
     )
-    valid = (F.col(at) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
-    matches = all_of([F.col(k) == F.col(f"__k_{k}") for k in keys])
-    return facts.join(versions, matches & valid, "left").select(*facts.columns, *columns)
-
-

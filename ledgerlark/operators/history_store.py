@@ -37,7 +37,7 @@ class HistoryTable:
         self.keys, self.buckets = keys, buckets
         self.schema = empty_history(spark.createDataFrame([], schema)).schema
         self.names = schema.names
-        self.open = PartedFolders(self.log, self.schema, "bucket", "int")
+        self.open = PartedFolders(self.log, self.schema, "stored_bucket", "int")
 
     def _state(self, version: int | None = None) -> State:
         return self.log.state(version) or {"buckets": self.buckets, "open": {}, "closed": [], "runs": []}
@@ -46,7 +46,7 @@ class HistoryTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"])).cast("int")
 
     def open_versions(self, version: int | None = None) -> DataFrame:
-        return self.open.read(self._state(version)["open"]).drop("bucket")
+        return self.open.read(self._state(version)["open"]).drop("stored_bucket")
 
     def read(self, version: int | None = None) -> DataFrame:
         """All versions, open and closed, as of a version of the table."""
@@ -71,21 +71,21 @@ class HistoryTable:
             return Run()
         spark, columns = self.log.spark, self.schema.names
         staged = self.log.folder("changes")
-        changes = compare(self.open.read(state["open"]).drop("bucket")).where("change <> 'kept'")
-        changes.withColumn("bucket", self._bucket(state)).write.parquet(f"{self.log.path}/{staged}")
-        schema = T.StructType([*self.schema.fields, T.StructField("change", T.StringType()), T.StructField("bucket", T.IntegerType())])
+        changes = compare(self.open.read(state["open"]).drop("stored_bucket")).where("change <> 'kept'")
+        changes.withColumn("stored_bucket", self._bucket(state)).write.parquet(f"{self.log.path}/{staged}")
+        schema = T.StructType([*self.schema.fields, T.StructField("change", T.StringType()), T.StructField("stored_bucket", T.IntegerType())])
         changes = spark.read.schema(schema).parquet(f"{self.log.path}/{staged}")
-        counted = changes.groupBy("bucket").agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("opened", "closed")]).collect()
+        counted = changes.groupBy("stored_bucket").agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("opened", "closed")]).collect()
         run = Run(sum(r.opened for r in counted), sum(r.closed for r in counted), len(counted))
         if counted:
-            touched = {str(r.bucket) for r in counted}
+            touched = {str(r.stored_bucket) for r in counted}
             ended = changes.where("change = 'closed'")
             closed = self.log.folder("closed")
             if run.closed:
                 ended.select(*columns).write.parquet(f"{self.log.path}/{closed}")
             still = self.open.read({b: f for b, f in state["open"].items() if b in touched})
-            still = still.join(ended.select("scd_id"), "scd_id", "left_anti").select(*columns, "bucket")
-            fresh = still.union(changes.where("change = 'opened'").select(*columns, "bucket"))
+            still = still.join(ended.select("scd_id"), "scd_id", "left_anti").select(*columns, "stored_bucket")
+            fresh = still.union(changes.where("change = 'opened'").select(*columns, "stored_bucket"))
             folder, held = self.open.write(fresh, "open")
 
             def replace(now: State | None) -> State:
@@ -105,7 +105,7 @@ class HistoryTable:
 
     def expire(self, keep: int = 1) -> list[str]:
         """Forget all but the newest ``keep`` versions of the table and delete what no version left refers to."""
-        return self.log.expire(keep, lambda s: {*(f"{f}/bucket={b}" for b, f in s["open"].items()), *s["closed"]})
+        return self.log.expire(keep, lambda s: {*(f"{f}/stored_bucket={b}" for b, f in s["open"].items()), *s["closed"]})
 
 
 def _time(text: str) -> Column:

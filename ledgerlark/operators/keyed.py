@@ -38,7 +38,7 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = 64):
         self.log = VersionLog(spark, path)
         self.schema, self.keys, self.buckets = schema, keys, buckets
-        self.files = PartedFolders(self.log, schema, "bucket", "int")
+        self.files = PartedFolders(self.log, schema, "stored_bucket", "int")
 
     def _state(self, version: int | None = None) -> State:
         empty = {"buckets": self.buckets, "batches": [], "base": {}, "deltas": [], "keyless": []}
@@ -50,7 +50,7 @@ class KeyedTable:
         if str(batch_id) in state["batches"]:
             return False
         unique = latest_per_key(batch.select(*self.schema.names), self.keys, newest)
-        folder, buckets = self.files.write(unique.withColumn("bucket", bucket_of(self.keys, state["buckets"])), f"batch-{batch_id}")
+        folder, buckets = self.files.write(unique.withColumn("stored_bucket", bucket_of(self.keys, state["buckets"])), f"batch-{batch_id}")
 
         def add(now: State | None) -> State | None:
             now = now or self._state()
@@ -123,6 +123,6 @@ class KeyedTable:
 
         def named(state: State) -> set[str]:
             held = [(f, b) for b, f in state["base"].items()] + [(f, KEYLESS) for f in state["keyless"]]
-            return {f"{f}/bucket={b}" for f, b in held + [(f, b) for f, buckets in state["deltas"] for b in buckets]}
+            return {f"{f}/stored_bucket={b}" for f, b in held + [(f, b) for f, buckets in state["deltas"] for b in buckets]}
 
         return self.log.expire(keep, named)

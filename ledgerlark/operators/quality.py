@@ -14,6 +14,7 @@ from ledgerlark.operators.dedup import conflicting_rows, duplicate_keys
 from ledgerlark.operators.joins import splittable_join
 from ledgerlark.session import delete_path, replace_path
 from ledgerlark.sources.files import write_table
+from ledgerlark.sources.published import PublishedTable
 
 ERROR, WARN = "error", "warn"
 
@@ -175,20 +176,30 @@ def _labelled(check: Check, failures: DataFrame) -> DataFrame:
 
 
 def stored_failures(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Violating rows of several checks in one shape, each row as JSON."""
-    frames = []
+    """Violating rows of several checks in one shape, each row as JSON.
+
+    All row-local checks of a table share one pass over it: a row is repeated once per check that it fails. Only
+    checks that need a shuffle of their own read their table again.
+    """
+    frames, by_table = [], {}
     for check in checks:
-        rows = check.violations(tables)
-        frames.append(
-            rows.select(
-                F.lit(check.name).alias("check"),
-                F.lit(check.table).alias("table"),
-                F.to_json(F.struct(*[F.col(c) for c in rows.columns])).alias("row"),
-            )
-        )
+        if check.violates is None:
+            rows = check.violations(tables)
+            frames.append(rows.select(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), _as_json(rows)))
+        else:
+            by_table.setdefault(check.table, []).append(check)
+    for table, local in by_table.items():
+        rows = tables[table]
+        failed = F.array_compact(F.array(*[F.when(check.violates(), F.lit(check.name)) for check in local]))
+        told = rows.select(failed.alias("failed"), _as_json(rows)).where(F.size("failed") > 0)
+        frames.append(told.select(F.explode("failed").alias("check"), F.lit(table).alias("table"), "row"))
     return reduce(DataFrame.unionByName, frames)
 
 
+def _as_json(rows: DataFrame) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("row")
+
+
 def store_failures(tables: dict[str, DataFrame], checks: list[Check], path: str) -> DataFrame:
     """Keep the violating rows, one partition folder per check."""
     return write_table(stored_failures(tables, checks), path, ("check",))
@@ -214,3 +225,20 @@ def publish_if_clean(df: DataFrame, name: str, checks: list[Check], path: str, o
     else:
         delete_path(spark, staged)
     return clean, summary
+
+
+def publish_version_if_clean(df: DataFrame, name: str, checks: list[Check], table: PublishedTable, others=None) -> tuple[bool, list]:
+    """Publish ``df`` as the next version of ``table`` if no error-severity check fails; warnings pass.
+
+    The rows are stored first and checked as stored, so the checked rows are the published rows. Readers see the
+    version before until the pointer moves; a version with a failing check is never pointed at. Returns
+    whether it was published and the summary rows.
+    """
+    folder, stored = table.stage(df)
+    summary = run_checks({**(others or {}), name: stored}, checks).collect()
+    clean = all(row["status"] != "fail" for row in summary)
+    if clean:
+        table.publish(folder, stored.schema)
+    else:
+        delete_path(df.sparkSession, f"{table.log.path}/{folder}")
+    return clean, summary

@@ -7,6 +7,9 @@ driver table or another binding.
 
 from __future__ import annotations
 
+from ledgerlark.operators.taxonomy import DEFAULT_RULES
+from ledgerlark.sources.schemas import RAW_TABLES
+
 
 def _ids(count: int) -> str:
     return ", ".join(f"({i})" for i in range(1, count + 1))
@@ -35,6 +38,29 @@ SESSION_KINDS: list[tuple[str | None, str | None, str | None]] = [
     ("Google", "Brand", "Upper-Case"),
 ]
 
+
+
+def _redelivered(base: str, source: str, changed: str, expression: str) -> str:
+    """A source as it lands: identical copies, conflicting copies and rows without a key besides the rows themselves."""
+    names = list(RAW_TABLES[source].types)
+    first, *rest, loaded = names
+
+    def rows(where: str, **other: str) -> str:
+        return f"SELECT {', '.join(f'{other[n]} AS {n}' if n in other else n for n in names)} FROM {{{base}}} WHERE {where}"
+
+    return " UNION ALL ".join(
+        [
+            f"SELECT {', '.join(names)} FROM {{{base}}}",
+            rows(f"{first} % 10 = 0", **{loaded: f"{loaded} + INTERVAL '1' DAY"}),
+            rows(f"{first} % 17 = 0", **{changed: expression}),
+            rows(f"{first} % 25 = 0", **{first: "CAST(NULL AS BIGINT)"}),
+        ]
+    )
+
+
+_STATUS = "CASE {0} % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'paused' ELSE 'removed' END"
+_LOADED = "TIMESTAMP '2024-02-01 06:00:00' AS _fivetran_synced"
+
 CURRENCY = "CASE o_custkey % 5 WHEN 0 THEN 'GBP' WHEN 1 THEN 'EUR' WHEN 2 THEN 'USD' WHEN 3 THEN 'JPY' ELSE 'CAD' END"
 
 BINDINGS = {
@@ -194,6 +220,102 @@ BINDINGS = {
         UNION ALL
         SELECT id, visited_at, customer_id, gclid, '/corrected', device_category, _fivetran_synced + INTERVAL '20' DAY
         FROM {raw_visits} WHERE visited_at < TIMESTAMP '2024-01-16 00:00:00' AND id % 7 = 0""",
+    # A third delivery: other corrections, and visits without an id.
+    "raw_visits_third": """
+        SELECT id, visited_at, customer_id, gclid, '/third' AS landing_page, device_category,
+               _fivetran_synced + INTERVAL '40' DAY AS _fivetran_synced
+        FROM {raw_visits} WHERE id % 11 = 0
+        UNION ALL
+        SELECT CAST(NULL AS BIGINT), visited_at, customer_id, gclid, landing_page, device_category, _fivetran_synced
+        FROM {raw_visits} WHERE id % 500 = 0""",
+    # Deliveries by day: some visits are held back and come weeks late, some are sent again long after, some have no time.
+    "raw_visits_early": """
+        SELECT * FROM {raw_visits} WHERE visited_at < TIMESTAMP '2024-01-11 00:00:00'
+           AND NOT (id % 19 = 0 AND visited_at < TIMESTAMP '2024-01-05 00:00:00')""",
+    "raw_visits_middle": """
+        SELECT * FROM {raw_visits}
+        WHERE visited_at >= TIMESTAMP '2024-01-11 00:00:00' AND visited_at < TIMESTAMP '2024-01-21 00:00:00'
+        UNION ALL
+        SELECT id, visited_at, customer_id, gclid, landing_page, device_category, _fivetran_synced + INTERVAL '1' DAY
+        FROM {raw_visits} WHERE id % 10 = 0
+           AND visited_at >= TIMESTAMP '2024-01-11 00:00:00' AND visited_at < TIMESTAMP '2024-01-21 00:00:00'
+        UNION ALL
+        SELECT -1 - id, CAST(NULL AS TIMESTAMP), customer_id, gclid, landing_page, device_category, _fivetran_synced
+        FROM {raw_visits} WHERE id % 29 = 0""",
+    "raw_visits_end": """
+        SELECT * FROM {raw_visits} WHERE visited_at >= TIMESTAMP '2024-01-21 00:00:00'
+        UNION ALL
+        SELECT * FROM {raw_visits} WHERE visited_at < TIMESTAMP '2024-01-05 00:00:00' AND (id % 19 = 0 OR id % 23 = 0)
+        UNION ALL
+        SELECT CAST(NULL AS BIGINT), visited_at, customer_id, gclid, landing_page, device_category, _fivetran_synced
+        FROM {raw_visits} WHERE id % 500 = 0""",
+    # A taxonomy that grows with the products, and sessions of which some name one.
+    "raw_rules": f"""
+        SELECT * FROM (VALUES {", ".join(str(tuple(r)) for r in DEFAULT_RULES)}) AS r(pattern, channel, subchannel)
+        UNION ALL
+        SELECT concat('promo-', CAST(p_partkey AS STRING), '(-x|-y)?$'), concat('Promo ', CAST(p_partkey % 7 AS STRING)),
+               concat('Promo > ', p_name)
+        FROM {{part}}
+        UNION ALL
+        SELECT concat('promo-', CAST(p_partkey AS STRING), '-.*z'), 'Promo Z', concat('Promo Z > ', p_name)
+        FROM {{part}} WHERE p_partkey % 3 = 0""",
+    "raw_sessions_promo": """
+        SELECT session_id, source, medium,
+               CASE WHEN session_id % 3 = 0 THEN campaign
+                    ELSE concat('promo-', CAST(session_id % 250 AS STRING),
+                                CASE session_id % 4 WHEN 0 THEN '' WHEN 1 THEN '-x' WHEN 2 THEN '-yz' ELSE '-w' END)
+               END AS campaign
+        FROM {raw_sessions}""",
+    # Ad results as restated a day later: some days changed, one kind of day is gone.
+    "raw_gads_clicks_restated": """
+        SELECT ad_id, date, impressions, CASE WHEN EXTRACT(DAY FROM date) % 5 = 0 THEN clicks + 1 ELSE clicks END AS clicks,
+               cost, conversions
+        FROM {raw_gads_clicks} WHERE EXTRACT(DAY FROM date) <> 13""",
+    # The eight marketing and session sources in the shape in which they land.
+    "raw_src_sessions": """
+        SELECT session_id AS id, session_date, source, medium, campaign, device_category, pageviews,
+               session_duration_seconds, CAST(session_date AS TIMESTAMP) + INTERVAL '1' DAY AS _fivetran_synced
+        FROM {raw_sessions}""",
+    "raw_src_gads_campaigns": f"""
+        SELECT s_suppkey AS id, concat('Google ', s_name) AS name, {_STATUS.format("s_suppkey")} AS status,
+               CASE s_suppkey % 2 WHEN 0 THEN 'search' ELSE 'display' END AS campaign_type,
+               CAST(DATE '2024-01-01' + CAST(s_suppkey % 90 AS INT) AS DATE) AS start_date,
+               CASE WHEN s_suppkey % 4 = 0 THEN CAST(DATE '2024-06-01' + CAST(s_suppkey % 90 AS INT) AS DATE) END AS end_date,
+               {_LOADED} FROM {{supplier}}""",
+    "raw_src_gads_ad_groups": f"""
+        SELECT c_custkey AS id, c_nationkey AS campaign_id, c_name AS name, {_STATUS.format("c_custkey")} AS status,
+               {_LOADED} FROM {{customer}}""",
+    "raw_src_gads_ads": f"""
+        SELECT p_partkey AS id, p_size AS ad_group_id, p_name AS headline, {_STATUS.format("p_partkey")} AS status,
+               p_type AS ad_type, {_LOADED} FROM {{part}}""",
+    "raw_src_gads_clicks": """
+        SELECT event_id AS id, user_id AS ad_id, CAST(ts AS DATE) AS date, CAST(event_id % 900 + 1 AS INT) AS impressions,
+               CAST(event_id % 40 AS INT) AS clicks, CAST(value AS DECIMAL(12,2)) AS cost,
+               CAST(event_id % 3 AS INT) AS conversions, CAST(ts AS TIMESTAMP) + INTERVAL '1' DAY AS _fivetran_synced
+        FROM {events}""",
+    "raw_src_fb_campaigns": f"""
+        SELECT s_suppkey AS id, concat('Facebook ', s_name) AS name,
+               CASE s_suppkey % 2 WHEN 0 THEN 'reach' ELSE 'sales' END AS objective, {_STATUS.format("s_suppkey")} AS status,
+               CAST(DATE '2024-01-01' + CAST(s_suppkey % 60 AS INT) AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date,
+               {_LOADED} FROM {{supplier}}""",
+    "raw_src_fb_ad_sets": f"""
+        SELECT c_custkey AS id, c_nationkey AS campaign_id, c_name AS name, {_STATUS.format("c_custkey")} AS status,
+               CAST(c_acctbal AS DECIMAL(12,2)) AS daily_budget, {_LOADED} FROM {{customer}}""",
+    "raw_src_fb_ads": f"""
+        SELECT event_id AS id, user_id % 12 + 1 AS ad_id, user_id % 6 + 1 AS ad_set_id, CAST(ts AS DATE) AS date,
+               concat('Creative ', CAST(user_id % 12 + 1 AS STRING)) AS name, {_STATUS.format("event_id")} AS status,
+               CAST(event_id % 700 + 1 AS INT) AS impressions, CAST(event_id % 30 AS INT) AS clicks,
+               CAST(value AS DECIMAL(12,2)) AS spend, CAST(event_id % 2 AS INT) AS conversions,
+               CAST(ts AS TIMESTAMP) + INTERVAL '1' DAY AS _fivetran_synced
+        FROM {{events}}""",
+    "raw_landed_sessions": _redelivered("raw_src_sessions", "google_analytics_sessions", "pageviews", "pageviews + 1"),
+    "raw_landed_gads_campaigns": _redelivered("raw_src_gads_campaigns", "google_ads_campaigns", "end_date", "DATE '2030-01-01'"),
+    "raw_landed_gads_ad_groups": _redelivered("raw_src_gads_ad_groups", "google_ads_ad_groups", "status", "'unknown'"),
+    "raw_landed_gads_ads": _redelivered("raw_src_gads_ads", "google_ads_ads", "headline", "concat(headline, '!')"),
+    "raw_landed_gads_clicks": _redelivered("raw_src_gads_clicks", "google_ads_clicks", "cost", "CAST(-1 AS DECIMAL(12,2))"),
+    "raw_landed_fb_campaigns": _redelivered("raw_src_fb_campaigns", "facebook_ads_campaigns", "objective", "CAST(NULL AS STRING)"),
+    "raw_landed_fb_ad_sets": _redelivered("raw_src_fb_ad_sets", "facebook_ads_ad_sets", "daily_budget", "CAST(0 AS DECIMAL(12,2))"),
+    "raw_landed_fb_ads": _redelivered("raw_src_fb_ads", "facebook_ads_ads", "spend", "CAST(-5 AS DECIMAL(12,2))"),
     # The catalogue one run later: some prices moved, some products are gone, some are new.
     "raw_prices_first": """
         SELECT p_partkey AS id, CAST(p_retailprice AS DECIMAL(12,2)) AS price FROM {part} WHERE p_partkey % 13 <> 0""",
@@ -202,6 +324,12 @@ BINDINGS = {
                CASE WHEN p_partkey % 10 = 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 5 AS DECIMAL(12,2))
                     ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS price
         FROM {part} WHERE p_partkey % 97 <> 0""",
+    # Two runs later: prices moved again, some products left, some came back.
+    "raw_prices_third": """
+        SELECT id, CASE WHEN id % 6 = 0 THEN CAST(price + 1 AS DECIMAL(12,2)) ELSE price END AS price
+        FROM {raw_prices_second} WHERE id % 31 <> 0
+        UNION ALL
+        SELECT p_partkey, CAST(p_retailprice AS DECIMAL(12,2)) FROM {part} WHERE p_partkey % 97 = 0""",
     "raw_rates_second": """
         SELECT date, base_currency, target_currency,
                CASE WHEN EXTRACT(DAY FROM date) = 7 THEN CAST(rate + CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(12,6))

@@ -6,13 +6,17 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import history as hist
 from ledgerlark.operators import incremental as inc
+from ledgerlark.operators.history_store import HistoryTable, Run
+from ledgerlark.operators.keyed import KeyedTable
+from ledgerlark.operators.restate import Load, RestatedTable
 from ledgerlark.operators.staging import typed
 from ledgerlark.registry.base import Tables, query
 from ledgerlark.registry.marketing import visits
 from ledgerlark.registry.revenue import hierarchy
 from ledgerlark.session import scratch_path
-from ledgerlark.sources.files import write_table
+from ledgerlark.sources.files import publish_view, write_table
 from ledgerlark.sources.schemas import LOADED_AT
+from ledgerlark.streaming import late
 from ledgerlark.streaming import visits as stream
 
 RUN_1 = "TIMESTAMP '2002-01-01 00:00:00'"
@@ -175,3 +179,146 @@ def visits_stream_conflicts(t: Tables):
     return typed(stream.conflict_free(t.spark, path), "prod_web_visits").drop("_loaded_at")
 
 
+# Four runs over the catalogue: the third one sees what the second saw.
+PRICE_RUNS = {
+    "2002-01-01 00:00:00": "raw_prices_first",
+    "2002-01-02 00:00:00": "raw_prices_second",
+    "2002-01-03 00:00:00": "raw_prices_second",
+    "2002-01-04 00:00:00": "raw_prices_third",
+}
+
+_RUNS = f"""
+    runs AS (SELECT * FROM (VALUES {", ".join(f"({n}, TIMESTAMP '{at}')" for n, at in enumerate(PRICE_RUNS))}) AS r(n, run_at)),
+    delivered AS ({" UNION ALL ".join(f"SELECT {n} AS n, id, price FROM {name}" for n, name in enumerate(PRICE_RUNS.values()))}),
+    seen AS (
+      SELECT i.id, r.n, r.run_at, d.price, d.id IS NOT NULL AS here
+      FROM (SELECT DISTINCT id FROM delivered) i CROSS JOIN runs r LEFT JOIN delivered d ON d.id = i.id AND d.n = r.n),
+    steps AS (
+      SELECT *, LAG(here, 1, false) OVER w AS was, LAG(price) OVER w AS before FROM seen WINDOW w AS (PARTITION BY id ORDER BY n)),
+    begun AS (SELECT * FROM steps WHERE here AND (NOT was OR price IS DISTINCT FROM before)),
+    ended AS (SELECT * FROM steps WHERE was AND (NOT here OR price IS DISTINCT FROM before))"""
+
+
+def _price_runs(t: Tables) -> tuple[HistoryTable, list[Run]]:
+    """Every run against what the one before has stored."""
+    table = HistoryTable(t.spark, scratch_path(t.spark, "price-history"), t["raw_prices_first"].schema, ["id"], buckets=16)
+    return table, [table.snapshot_by_check(t[name], ["price"], at) for at, name in PRICE_RUNS.items()]
+
+
+@query(
+    "scd2_stored",
+    f"""WITH {_RUNS}
+        SELECT b.id, CAST(b.price AS DOUBLE) AS price, {_scd("CAST(b.id AS VARCHAR)", "b.run_at")} AS scd_id,
+               b.run_at AS updated_at, b.run_at AS valid_from, MIN(e.run_at) AS valid_to
+        FROM begun b LEFT JOIN ended e ON e.id = b.id AND e.n > b.n GROUP BY ALL""",
+)
+def scd2_stored(t: Tables):
+    """History kept in a table over four runs; closed versions are written once."""
+    return _price_runs(t)[0].read()
+
+
+@query(
+    "scd2_runs",
+    f"""WITH {_RUNS}
+        SELECT run_at, (SELECT COUNT(*) FROM begun b WHERE b.n = r.n) AS opened,
+               (SELECT COUNT(*) FROM ended e WHERE e.n = r.n) AS closed FROM runs r""",
+)
+def scd2_runs(t: Tables):
+    """What each run opened and closed: the repeated third one nothing."""
+    told = [(at, run.opened, run.closed) for at, run in zip(PRICE_RUNS, _price_runs(t)[1], strict=True)]
+    return t.spark.createDataFrame(told, "run_at string, opened bigint, closed bigint").withColumn("run_at", F.col("run_at").cast("timestamp"))
+
+
+@query(
+    "visits_merge",
+    """SELECT id, visited_at, customer_id, NULLIF(gclid, '') AS gclid,
+              CASE WHEN id % 11 = 0 THEN '/third'
+                   WHEN id % 7 = 0 AND visited_at < TIMESTAMP '2024-01-16 00:00:00' THEN '/corrected'
+                   ELSE landing_page END AS landing_page, device_category
+       FROM raw_visits
+       UNION ALL
+       SELECT id, visited_at, customer_id, NULLIF(gclid, ''), landing_page, device_category
+       FROM raw_visits_third WHERE id IS NULL""",
+)
+def visits_merge(t: Tables):
+    """Three deliveries merged on the visit id, one of them sent twice, with a compaction in between."""
+    deliveries = [typed(t[f"raw_visits_{name}"], "prod_web_visits") for name in ("first", "second", "third")]
+    table = KeyedTable(t.spark, scratch_path(t.spark, "visits-merged"), deliveries[0].schema, ["id"], buckets=16)
+    newest = [F.col("_loaded_at")]
+    table.write_batch(deliveries[0], 0, newest)
+    table.write_batch(deliveries[1], 1, newest)
+    table.compact()
+    table.write_batch(deliveries[2], 2, newest)
+    table.write_batch(deliveries[1], 1, newest)  # a retry: it is there already
+    return table.read().drop("_loaded_at")
+
+
+def _on_time(t: Tables):
+    """Three deliveries through the stream, each landed when the one before has been loaded."""
+    spark, raw = t.spark, stream.RAW_TABLES[stream.VISITS].schema
+    source, beside, progress = (scratch_path(spark, n) for n in ("visits-landing", "visits-late", "visits-progress"))
+    table = KeyedTable(spark, scratch_path(spark, "visits-on-time"), raw, ["id"], buckets=16)
+    for name in ("early", "middle", "end"):
+        t[f"raw_visits_{name}"].write.mode("append").parquet(source)
+        late.load_on_time(stream.visit_stream(spark, source), table, beside, progress, "2 days").awaitTermination()
+    return table.read(), late.late_rows(raw, table, beside)
+
+
+_VISIT = "id, visited_at, customer_id, gclid, landing_page, device_category"
+
+
+@query(
+    "visits_on_time",
+    f"""SELECT {_VISIT} FROM raw_visits WHERE NOT (id % 19 = 0 AND visited_at < TIMESTAMP '2024-01-05 00:00:00')
+        UNION ALL SELECT {_VISIT} FROM raw_visits_middle WHERE visited_at IS NULL
+        UNION ALL SELECT {_VISIT} FROM raw_visits_end WHERE id IS NULL""",
+)
+def visits_on_time(t: Tables):
+    """The visits that came within two days of the newest one, each once, and those without a time or an id."""
+    return _on_time(t)[0].drop(LOADED_AT)
+
+
+@query("visits_late", f"SELECT {_VISIT} FROM raw_visits WHERE id % 19 = 0 AND visited_at < TIMESTAMP '2024-01-05 00:00:00'")
+def visits_late(t: Tables):
+    """The visits that came too late; repeats of loaded visits are not among them, however late they are."""
+    return _on_time(t)[1].drop(LOADED_AT)
+
+
+_CLICK_DAYS = "CAST(CAST(date AS DATE) AS VARCHAR) AS day"
+
+
+def _restated(t: Tables) -> tuple[RestatedTable, list[Load]]:
+    first = t["raw_gads_clicks"]
+    table = RestatedTable(t.spark, scratch_path(t.spark, "clicks"), first.schema, "date")
+    return table, [table.load(t[name]) for name in ("raw_gads_clicks", "raw_gads_clicks_restated", "raw_gads_clicks_restated")]
+
+
+@query(
+    "restated_clicks",
+    """SELECT ad_id, date, CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks,
+              CAST(cost AS DOUBLE) AS cost, CAST(conversions AS BIGINT) AS conversions FROM raw_gads_clicks_restated""",
+)
+def restated_clicks(t: Tables):
+    """Ad results after a delivery that restates some days, of which alone the files are written."""
+    return _restated(t)[0].read()
+
+
+@query(
+    "restated_days",
+    f"""SELECT DISTINCT 0 AS delivery, {_CLICK_DAYS}, 'restated' AS what FROM raw_gads_clicks
+        UNION ALL SELECT DISTINCT 1, {_CLICK_DAYS}, 'restated' FROM raw_gads_clicks_restated WHERE EXTRACT(DAY FROM date) % 5 = 0
+        UNION ALL SELECT DISTINCT 1, {_CLICK_DAYS}, 'gone' FROM raw_gads_clicks WHERE EXTRACT(DAY FROM date) = 13""",
+)
+def restated_days(t: Tables):
+    """The days that each of three deliveries wrote or took out; the third one, a repeat, none."""
+    loads = _restated(t)[1]
+    told = [(n, day, "restated") for n, load in enumerate(loads) for day in load.restated]
+    told += [(n, day, "gone") for n, load in enumerate(loads) for day in load.gone]
+    return t.spark.createDataFrame(told, "delivery int, day string, what string")
+
+
+@query("view_sink", "SELECT id, name, status FROM raw_src_gads_campaigns")
+def view_sink(t: Tables):
+    """A staging view that is published by name and read by SQL."""
+    publish_view(typed(t["raw_src_gads_campaigns"], "google_ads_campaigns"), "stg_google_ads_campaigns")
+    return t.spark.sql("SELECT id, name, status FROM stg_google_ads_campaigns")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import marketing as mkt
+from ledgerlark.operators import rules
 from ledgerlark.operators.incremental import build_visits
 from ledgerlark.operators.staging import typed
-from ledgerlark.operators.taxonomy import classify, session_subject
+from ledgerlark.operators.taxonomy import session_subject
 from ledgerlark.registry.base import Tables, part, query
 from ledgerlark.registry.models import big, dbl, div
 from ledgerlark.registry.revenue import fct, hierarchy
+from ledgerlark.session import written
 
 
 @part
@@ -62,12 +64,27 @@ def classify_sessions(t: Tables):
     return mkt.classify_sessions(t["raw_sessions"])
 
 
-@query("classify_theta", _SESSION)
+@query(
+    "classify_theta",
+    """WITH kinds AS (
+         SELECT DISTINCT source, medium, campaign,
+                concat(COALESCE(source, ''), '-', COALESCE(medium, ''), '-', COALESCE(campaign, '')) AS subject
+         FROM raw_sessions_promo),
+       hits AS (
+         SELECT subject, channel, subchannel,
+                ROW_NUMBER() OVER (PARTITION BY subject ORDER BY length(pattern) DESC, pattern, channel, subchannel) AS place
+         FROM (SELECT DISTINCT subject FROM kinds) JOIN (SELECT DISTINCT * FROM raw_rules) ON regexp_matches(subject, pattern))
+       SELECT s.session_id, s.source, s.medium, s.campaign, COALESCE(h.channel, 'Other') AS channel_grouping, h.subchannel
+       FROM raw_sessions_promo s
+       JOIN kinds k ON s.source IS NOT DISTINCT FROM k.source AND s.medium IS NOT DISTINCT FROM k.medium
+                   AND s.campaign IS NOT DISTINCT FROM k.campaign
+       LEFT JOIN hits h ON h.subject = k.subject AND h.place = 1""",
+)
 def classify_theta(t: Tables):
-    """The sessions' query with the constant rules in blocks of four, as a long taxonomy is searched."""
+    """Sessions by a table of rules that grows with the products; the index of its literals is stored first."""
+    index = written(rules.literal_index(t["raw_rules"]), "rules-index")
     subject = session_subject(F.col("source"), F.col("medium"), F.col("campaign"))
-    sessions = t["raw_sessions"].select("session_id", "source", "medium", "campaign")
-    return classify(sessions, subject, per_case=4)
+    return rules.classify_by_index(t["raw_sessions_promo"], subject, index)
 
 
 @query(

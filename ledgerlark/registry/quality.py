@@ -14,6 +14,7 @@ from ledgerlark.registry.base import Tables, query
 from ledgerlark.registry.models import big, dbl
 from ledgerlark.registry.revenue import customers, fct
 from ledgerlark.session import scratch_path
+from ledgerlark.sources.published import PublishedTable
 
 STATUSES = ["completed", "refunded", "cancelled"]
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -247,6 +248,6 @@ def gated_publish(t: Tables):
     outcome = []
     for name, df in (("items", faulty_items(t)), ("clean_items", typed(t["raw_items"], "prod_order_items"))):
         check = Check("positive_value", name, "quantity", violates=lambda: q.is_negative("quantity"))
-        published, summary = q.publish_if_clean(df, name, [check], scratch_path(t.spark, name))
+        published, summary = q.publish_version_if_clean(df, name, [check], PublishedTable(t.spark, scratch_path(t.spark, name)))
         outcome.append((name, sum(row["failures"] for row in summary), published))
     return t.spark.createDataFrame(outcome, "name string, failures bigint, published boolean")

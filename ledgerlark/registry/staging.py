@@ -170,3 +170,41 @@ def pct_change_monthly(t: Tables):
 def source_profiles(t: Tables):
     profile = source_profile(t["raw_customers"].drop(LOADED_AT))
     return profile.withColumn("samples", F.nullif(F.array_join("samples", "|"), F.lit("")))
+
+
+def _staged_sql(binding: str, source: str) -> str:
+    """One row per key whose copies agree, none where they don't, and rows without a key as they are."""
+    types, rename = RAW_TABLES[source].types, RAW_TABLES[source].rename
+    (key,) = RAW_TABLES[source].keys
+    own = [c for c in types if c not in (key, LOADED_AT)]
+
+    def shown(column: str, value: str) -> str:
+        kind = types[column]
+        if kind.startswith("decimal"):
+            value = f"CAST(CAST({value} AS DECIMAL(10,2)) AS DOUBLE)"
+        elif kind == "int":
+            value = f"CAST({value} AS BIGINT)"
+        return f"{value} AS {'_loaded_at' if column == LOADED_AT else rename.get(column, column)}"
+
+    agreed = ", ".join([shown(key, key), *[shown(c, f"any_value({c})") for c in own], shown(LOADED_AT, f"max({LOADED_AT})")])
+    plain = ", ".join(shown(c, c) for c in types)
+    return f"""SELECT {agreed} FROM {binding} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(DISTINCT ({", ".join(own)})) = 1
+               UNION ALL SELECT {plain} FROM {binding} WHERE {key} IS NULL"""
+
+
+# The sources that no other query stages, each as it lands: copies, conflicts and rows without a key.
+LANDED = {
+    "sessions": "google_analytics_sessions",
+    "gads_campaigns": "google_ads_campaigns",
+    "gads_ad_groups": "google_ads_ad_groups",
+    "gads_ads": "google_ads_ads",
+    "gads_clicks": "google_ads_clicks",
+    "fb_campaigns": "facebook_ads_campaigns",
+    "fb_ad_sets": "facebook_ads_ad_sets",
+    "fb_ads": "facebook_ads_ads",
+}
+
+for _name, _source in LANDED.items():
+    query(f"stg_{_name}", _staged_sql(f"raw_landed_{_name}", _source))(
+        lambda t, name=_name, source=_source: stage(t[f"raw_landed_{name}"], source)
+    )

@@ -74,3 +74,48 @@ def test_rows_without_a_key_keep_their_version(frame):
     assert told == sorted(map(repr, first.select("id", "part", "v", "valid_to").collect())) and len(told) == 2
     changed = hist.snapshot_by_check(first, incoming.withColumn("v", F.lit(9)), ["id", "part"], ["v"], at)
     assert changed.count() == 4 and changed.where("valid_to IS NULL AND v = 9").count() == 2
+
+
+def test_as_of_against_plain_search(spark, frame):
+    """Random histories, with facts before, at, between and after their versions, NULL keys and NULL times."""
+    import random
+
+    rng = random.Random(2)
+    versions, facts = [], []
+    for key in [*range(12), None]:
+        at = 0
+        for n in range(rng.randrange(0, 9)):
+            start = at + rng.randrange(0, 3)
+            end = start + rng.randrange(0, 4)
+            open_ = rng.random() < 0.15
+            versions.append((key, f"{key}-{n}", moment(start), None if open_ else moment(end)))
+            if open_:
+                break
+            at = end
+        facts += [(key, n, moment(rng.randrange(-2, 30)) if rng.random() > 0.05 else None, "own") for n in range(40)]
+    facts += [(99, 0, moment(1), "own")] + facts[:5]
+    history = frame(versions, "id bigint, v string, valid_from timestamp, valid_to timestamp")
+    asked = frame(facts, "id int, n int, at timestamp, valid_to string")
+
+    def plain(key, at):
+        held = [v for v in versions if v[0] == key and at is not None and v[2] <= at]
+        if not held:
+            return None
+        last = max(held, key=lambda v: (v[2], v[3] or datetime.max))
+        return last[1] if last[3] is None or at < last[3] else None
+
+    expected = sorted((repr((*f, plain(f[0], f[2]))) for f in facts))
+    for parts in (1, 7, 60):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = hist.as_of(asked, history, ["id"], "at", ["v"])
+        assert got.columns == ["id", "n", "at", "valid_to", "v"]
+        assert sorted(repr(tuple(r)) for r in got.collect()) == expected
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert hist.as_of(asked.limit(0), history, ["id"], "at", ["v"]).count() == 0
+    assert hist.as_of(asked, history.limit(0), ["id"], "at", ["v"]).where("v IS NULL").count() == len(facts)
+
+
+def moment(n):
+    from datetime import timedelta
+
+    return datetime(2026, 1, 1) + timedelta(hours=n)

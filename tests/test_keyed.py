@@ -99,10 +99,10 @@ def test_only_open_buckets_are_merged_and_rewritten(spark, table, rows, executed
     assert table.compact(at_least=2) == set()
     assert table.compact() == {opened}
     new = {p: t for p, t in files(table).items() if p not in whole}
-    assert {p.parent.name for p in new} == {f"bucket={opened}"} and all(whole[p] == files(table)[p] for p in whole)
+    assert {p.parent.name for p in new} == {f"stored_bucket={opened}"} and all(whole[p] == files(table)[p] for p in whole)
     table.expire()
     kept = files(table)
-    assert table.read().count() == 400 and not any(p.parent.name == f"bucket={opened}" for p in set(kept) & set(whole))
+    assert table.read().count() == 400 and not any(p.parent.name == f"stored_bucket={opened}" for p in set(kept) & set(whole))
 
 
 def test_a_reader_keeps_to_its_version(spark, table, rows):

@@ -86,6 +86,21 @@ def test_attribution_leaves_the_rows_where_they_are(spark, tmp_path, executed):
     assert plan.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in plan
 
 
+def test_as_of_cuts_a_key_with_very_many_versions(spark, no_broadcast):
+    """A key with 100,000 versions and facts spans many tasks, and no fact meets all of its versions."""
+    from ledgerlark.operators.history import as_of
+
+    at = F.timestamp_seconds(F.col("id") * 60)
+    history = spark.range(100_000).select(F.lit(1).alias("k"), F.col("id").alias("v"), at.alias("valid_from"),
+                                          F.timestamp_seconds((F.col("id") + 1) * 60).alias("valid_to"))
+    facts = spark.range(100_000).select(F.lit(1).alias("k"), "id", F.timestamp_seconds(F.col("id") * 60 + 30).alias("at"),
+                                        F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+    joined = as_of(facts, history, ["k"], "at", ["v"])
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("v").alias("n"), F.max("payload")).collect()
+    assert joined.where("v = id").count() == 100_000
+    assert len(parts) >= 4 and max(r.n for r in parts) < 50_000
+
+
 def test_planning_a_dedupe_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")
@@ -95,6 +110,8 @@ def test_planning_a_dedupe_runs_no_job(spark):
 
 
 LAZY = sorted(set(QUERIES) - {"gated_publish"})
+# Its windows run over one key's rows of one partition, and over one row per partition of a key.
+WINDOWED = {"scd2_as_of"}
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -102,7 +119,7 @@ def test_no_query_needs_a_single_task_or_a_product(spark, name):
     """No cross or nested-loop join, no window over everything, no Python in the plan."""
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "ArrowEvalPython", "BatchEvalPython"):
-        assert forbidden not in plan
+        assert forbidden not in plan or (forbidden == "Window" and name in WINDOWED)
     # A single partition may only receive global aggregates, that is, one row per task.
     for above in re.findall(r"([^\n]*)\n[^\n]*Exchange SinglePartition", plan):
         assert "Aggregate" in above, above
