@@ -42,7 +42,7 @@ FAN = 16
 CARRIED = 1024
 #: A bin with this share of its room taken is nearly full.
 NEARLY = 0.99
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
 CACHED_LENGTH = 64
 
 #: Characters that Unicode composition leaves alone and that have one lower case: ASCII and most of Latin.
@@ -106,15 +106,18 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if self.split and _PLAIN(text) and not self.added(text):
-            lower = text.lower()
-            if lower.isalpha():  # the commonest words are split without the pattern
-                ids = self.pieces[lower]
-            elif lower[:-1].isalpha() and lower[-1] in ".,;:!?":
-                ids = self.pieces[lower[:-1]] + self.pieces[lower[-1]]
-            else:
-                ids = b"".join(map(self.pieces.__getitem__, self.split(lower)))
-        else:
+        ids = None
+        if self.split:
+            # The commonest words, letters and perhaps a sign, are split without the pattern.
+            sign = text[-1] if text[-1] in ".,;:!?" else ""
+            stem = text[:-1] if sign else text
+            if stem.isalpha() and max(stem) < "\u0180" and "\u0130" not in stem:
+                ids = self.pieces[stem.lower()]
+                if sign:
+                    ids += self.pieces[sign]
+            elif _PLAIN(text) and not self.added(text):
+                ids = b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+        if ids is None:
             ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(word) <= CACHED_LENGTH:
             self[word] = ids
