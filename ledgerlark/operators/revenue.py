@@ -149,8 +149,9 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, items: DataFrame, hie
         F.col("country_code").alias("customer_country_code"),
         F.col("country_name").alias("customer_country_name"),
     )
-    attributed = attribute_clicks(orders_with_items(orders, items), hierarchy)
-    return splittable_join(attributed, country, ["user_id"], "left").select(
+    # The rollup comes last, so what follows by order finds the orders where it needs them.
+    located = splittable_join(attribute_clicks(orders, hierarchy), country, ["user_id"], "left")
+    return orders_with_items(located, items).select(
         "id", "user_id", "customer_country_code", "customer_country_name", "order_date", "status", "currency_code",
         "gclid", "attributed_platform", "attributed_campaign_id", "attributed_campaign_name", "attributed_ad_id",
         "attributed_ad_name", "item_count", "unit_count", "order_subtotal", "_loaded_at",
@@ -239,9 +240,10 @@ def fct_transactions(order_items: DataFrame, orders: DataFrame, transactions: Da
         F.col("id").alias("order_id"), "user_id", "order_date", "status", "attributed_platform",
         "attributed_campaign_id", "attributed_campaign_name", "order_subtotal",
     )
-    settled = splittable_join(paid, header, ["order_id"])
+    # An order has few payments and lines, so the three sides can share one partitioning by order.
+    settled = paid.join(header, "order_id")
     gross = F.col("gross_amount").cast("double")
-    lines = splittable_join(order_items, settled, ["order_id"]).select(
+    lines = order_items.join(settled, "order_id").select(
         F.col("id").alias("order_item_id"),
         "order_id",
         F.col("user_id").alias("customer_id"),
