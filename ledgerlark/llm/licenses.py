@@ -216,16 +216,13 @@ class LicenseScanner:
     def __call__(self, data: bytes) -> tuple:
         words = words_of(data)
         statistics = self.automaton.walk(words)
-        places, base, long = [], set(), []
-        for j, (i, at, length) in enumerate(statistics):
+        places, base = [], set()
+        for i, at, length in statistics:
             for size, label in self.whole[at]:
                 if size <= length:
                     places.append(i - size + 1)
                     base.add(label)
-            follows = j + 1 < len(statistics) and statistics[j + 1][0] == i + 1 and statistics[j + 1][2] == length + 1
-            if length >= self.least and not follows:
-                long.append((i, at, length))
-        score, spans = self.covered(long)
+        score, spans = self.covered(self.stretches(statistics))
         labels = sorted(base | {s["label"] for s in spans})
         return (
             len(words),
@@ -238,13 +235,38 @@ class LicenseScanner:
             spans,
         )
 
-    def covered(self, long: list[tuple[int, int, int]]) -> tuple[float, list[dict]]:
+    def stretches(self, statistics: list[tuple[int, int, int]]) -> dict[int, list[tuple[int, int, int]]]:
+        """Per template the stretches (text start, template start, length) that it shares with the text, none longer on either side.
+
+        A state's suffix links lead to shorter ends of what was matched, which stand in other templates: for every
+        place of a template the first state on the way that has it tells how far back it agrees.
+        """
+        states, found = self.automaton.states, {}
+        before: dict[tuple[int, int], int] = {}  # place that the word before ended at, and how long it agreed
+        last = -2
+
+        def end(open_: dict[tuple[int, int], int], i: int) -> None:
+            for (k, place), length in open_.items():
+                found.setdefault(k, []).append((i - length + 1, place - length + 1, length))
+
+        for i, at, length in statistics:
+            here: dict[tuple[int, int], int] = {}
+            while at > 0 and length >= self.least:
+                for place in self.automaton.ends[at]:
+                    if place[0] >= self.n_phrases:
+                        here.setdefault(place, length)
+                at = states[at].link
+                length = states[at].length
+            if before and last == i - 1:
+                end({(k, p): n for (k, p), n in before.items() if (k, p + 1) not in here}, last)
+            else:
+                end(before, last)
+            before, last = here, i
+        end(before, last)
+        return found
+
+    def covered(self, by_template: dict[int, list[tuple[int, int, int]]]) -> tuple[float, list[dict]]:
         """The best covered share of a template, and the spans that cover ``share`` of one."""
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
-        for i, at, length in long:
-            for k, end in self.automaton.ends[at]:
-                if k >= self.n_phrases:
-                    by_template.setdefault(k, []).append((i - length + 1, end - length + 1, length))
         score, spans = 0.0, []
         for k, matches in sorted(by_template.items()):
             size = self.sizes[k]
@@ -280,9 +302,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 
     A template's label is given where a chain of stretches of at least ``least`` words,
     no further than ``window`` words apart, covers ``share`` of it; each such notice has
-    its span, in texts of any length and however many fragments stand around it. The score is the best
+    its span, in texts of any length and however many fragments stand around it; templates that share words are
+    all found, each by its own stretches. The score is the best
     covered share, and 1 where a phrase of the base search stands. NULL and empty
-    texts have no words, no labels and score 0. Columns of the result's names are replaced.
+    texts have no words, no labels and score 0; an empty table gives no rows. Columns of the result's names are replaced.
     Rows are scanned one by one, so long texts and repeated rows gather nowhere.
     """
     return with_struct(docs, license_columns(F.col(text), **options), RESULT_NAMES)

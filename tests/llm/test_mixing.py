@@ -5,6 +5,8 @@ import math
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlark.llm import mixing, queries
@@ -72,6 +74,42 @@ def test_large_rates_do_not_underflow(spark):
     assert abs(n - 3000) < 6 * math.sqrt(3000)
 
 
+@pytest.mark.parametrize("rate", [1e-12, 0.3, 1.0, 7.25, 49.0, 700.0])
+def test_distribution(rate):
+    first, upto = mixing.distribution(rate)
+    plain, total = [], 0.0
+    for k in range(first + len(upto)):
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        plain.append(total)
+    assert np.abs(np.array(plain[first:]) - upto).max() < 1e-11 and (first == 0 or plain[first - 1] < 1e-20)
+
+
+def test_rates_of_a_billion():
+    """The table goes with the square root of the rate, and its middle and spread are those of the distribution."""
+    rate = 1e9
+    first, upto = mixing.distribution(rate)
+    assert len(upto) < 10**6
+    for sigmas in (-2.0, -1.0, 0.0, 1.0, 2.0):
+        at = int(rate + sigmas * math.sqrt(rate)) - first
+        assert abs(upto[at] - 0.5 * (1 + math.erf(sigmas / math.sqrt(2)))) < 1e-4
+    (got,) = mixing._copies(iter([(pa.array([0.0, 0.5, 1 - 2**-52, 0.25]), pa.array([rate, rate, rate, 0.0]))]))
+    low, middle, high, none = got.to_pylist()
+    assert rate - 12.1 * math.sqrt(rate) - 41 <= low < middle < high <= rate + 12.1 * math.sqrt(rate) + 41 and none == 0
+    assert abs(middle - rate) < 2
+
+
+def test_many_copies_are_made_in_blocks_by_many_tasks(spark):
+    rows = [(1, "x", "rare"), (2, "x" * 199_999, "rest")]
+    out = mixing.mix(frame(spark, rows), {"rare": 1})
+    first, upto = mixing.distribution(200_000.0)
+    u = int(hashlib.md5(b"mix-1:1").hexdigest()[:13], 16) / 2**52
+    copies = sorted(r.copy for r in out.select("copy").collect())
+    assert copies == list(range(1, first + int(np.searchsorted(upto, u, side="right")) + 1))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION") == 2  # blocks, then the global order
+    assert mixing.mix(frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString().count("REPARTITION") == 1
+
+
 def test_order_is_global_and_does_not_depend_on_partitions(spark):
     one = mixing.mix(frame(spark, ROWS).coalesce(1)).select("doc_id", "copy", "shuffle_key").collect()
     many = mixing.mix(frame(spark, ROWS).repartition(9)).select("doc_id", "copy", "shuffle_key").collect()

@@ -181,6 +181,36 @@ def check_license(row, text):
     assert 0 <= row.score <= 1
 
 
+def plain_stretches(words, template, least):
+    """All (text start, template start, length) that neither side can extend, compared word by word."""
+    out = []
+    for a in range(len(words)):
+        for b in range(len(template)):
+            if words[a] == template[b] and not (a and b and words[a - 1] == template[b - 1]):
+                n = 0
+                while a + n < len(words) and b + n < len(template) and words[a + n] == template[b + n]:
+                    n += 1
+                if n >= least:
+                    out.append((a, b, n))
+    return sorted(out)
+
+
+def test_templates_that_share_words():
+    """Versions of one license, each found by its own stretches although a longer one of another stands there."""
+    rng = random.Random(6)
+    for least in (1, 2, 4):
+        for _ in range(120):
+            base = [rng.choice("abcdef") for _ in range(14)]
+            templates = {"v1": base, "v2": ["x", *base[:9], "y", *base[9:]], "v3": base[3:11], "v4": [rng.choice("abcx") for _ in range(10)]}
+            scan = licenses.LicenseScanner({"q q": "q"}, {k: " ".join(v) for k, v in templates.items()}, least, 0.6, 5)
+            words = [w for _ in range(3) for w in rng.choice([base[rng.randrange(5):], templates["v2"][rng.randrange(3):], list("xabz")])]
+            got = scan.stretches(scan.automaton.walk([w.encode() for w in words]))
+            for n, template in enumerate(templates.values()):
+                assert sorted(got.get(n + 1, [])) == plain_stretches(words, template, least)
+    scan = licenses.LicenseScanner({"q q": "q"}, {"A": "x a b c d e f", "B": "y a b c d e f"}, 4, 0.6, 40)
+    assert scan(b"a b c d e f")[5] == scan(b"x a b c d e f")[5] == ["A", "B"]
+
+
 def test_license_frames(spark):
     notice = licenses.TEMPLATES["bsd"]
     texts = [
