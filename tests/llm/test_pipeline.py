@@ -126,3 +126,13 @@ def test_empty_and_odd_tables(spark):
     spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"{empty}/labels.parquet")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{empty}/documents.parquet")
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_one_row_of_each_repeat_stays(spark):
+    """Repeated rows of an id, rows without an id, an id with two texts, NULL and empty texts."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a), (3, a), (3, b), (None, a), (None, a), (None, a), (None, b), (None, None), (None, None), (None, ""), (4, None), (4, None), (9, a)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", 1) for n, (i, t) in enumerate(rows)], SCHEMA)
+    out = corpus_pipeline.near_duplicates(spark, docs, "unused")
+    assert out.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted({r for r in rows if r[0] != 9}, key=repr)
