@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import dedup, privacy, reconcile
 from ledgerlark.operators.quality import unique_combination_of_columns
+from ledgerlark.operators.quarantine import QuarantineTable
 from ledgerlark.registry.base import Tables, query
 from ledgerlark.registry.quality import KEYS
 from ledgerlark.session import scratch_path
@@ -148,6 +149,37 @@ def quarantine_transition(t: Tables):
     return reconcile.quarantine_transition(previous, current, checked)
 
 
+@query(
+    "quarantine_runs",
+    """WITH payments AS (SELECT COUNT(*) AS n FROM (SELECT id FROM raw_payments_redelivered GROUP BY id HAVING COUNT(DISTINCT amount) > 1)),
+            visits AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (id % 2 = 0) AS half
+                       FROM (SELECT id FROM raw_visits_redelivered WHERE id IS NOT NULL GROUP BY id
+                             HAVING COUNT(DISTINCT landing_page) > 1)),
+            p AS (SELECT payments.n AS p, visits.n AS v, half AS h FROM payments, visits)
+       SELECT 1 AS run, 'refunds' AS source, 0 AS keys_before, p AS keys_now, p AS keys_changed, 'opened' AS transition, false AS compared FROM p
+       UNION ALL SELECT 1, 'sessions', 0, v, v, 'opened', false FROM p
+       UNION ALL SELECT 1, 'visits', 0, h, h, 'opened', false FROM p
+       UNION ALL SELECT 2, 'payments', 0, p, p, 'opened', false FROM p
+       UNION ALL SELECT 2, 'refunds', p, 0, p, 'resolved', false FROM p
+       UNION ALL SELECT 2, 'sessions', v, 0, v, 'unchanged', false FROM p
+       UNION ALL SELECT 2, 'visits', h, v, v - h, 'changed', true FROM p
+       UNION ALL SELECT 3, 'payments', p, p, 0, 'refreshed', false FROM p
+       UNION ALL SELECT 3, 'sessions', v, 0, v, 'unchanged', false FROM p
+       UNION ALL SELECT 3, 'visits', v, v, 0, 'refreshed', false FROM p""",
+)
+def quarantine_runs(t: Tables):
+    """Three runs, each against the stored one before; the third finds nothing new and compares no key."""
+    payments = _quarantined(t, "raw_payments_redelivered", "payments")
+    visits = _quarantined(t, "raw_visits_redelivered", "visits")
+    table = QuarantineTable(t.spark, scratch_path(t.spark, "quarantine"))
+    ran = t.spark.createDataFrame([("payments", "warn"), ("visits", "warn"), ("refunds", "pass")], "source string, status string")
+    first = visits.where(F.col("key").cast("bigint") % 2 == 0).unionByName(payments.withColumn("source", F.lit("refunds")))
+    first = first.unionByName(visits.withColumn("source", F.lit("sessions")))
+    runs = [first, payments.unionByName(visits), payments.unionByName(visits)]
+    reports = [table.record(keys, ran).select(F.lit(n + 1).alias("run"), "*") for n, keys in enumerate(runs)]
+    return reports[0].union(reports[1]).union(reports[2])
+
+
 @query(
     "duplicate_key_rows",
     f"""SELECT l.* REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem l

@@ -41,6 +41,15 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """Full-refresh sink in global order: files hold ranges of ``by`` one after the other, each file sorted.
+
+    A scan with a condition on ``by`` then skips the files, and the parts of files, whose range is elsewhere.
+    """
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def freeze(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Store every table of a version below ``folder``, views included.
 

@@ -7,6 +7,8 @@ from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.keys import surrogate_key
 from ledgerlark.functions.money import cents_to_currency, pct_change, safe_divide
 from ledgerlark.functions.text import parse_click_id, regexp_contains, safe_cast_integer, scrub_emails
+from ledgerlark.session import scratch_path
+from ledgerlark.sources.files import write_sorted
 
 
 def test_safe_divide_gives_null_without_a_denominator(frame, rows):
@@ -86,3 +88,18 @@ def test_scrubbing_finds_what_the_plain_pattern_finds(frame):
     texts = ["a@b.com+x@y.org", "a@b", "a@b.c a.b%c+d-e@f-g.hi.jk", "x" * 50_000, "@@a@b.cd@e.fg", "", "é a@b.com.é", "a@b.com@c.de"]
     got = frame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(scrub_emails(F.col("t"))).collect()
     assert [r[0] for r in got] == [re.sub(EMAIL_PATTERN, REDACTED, t) for t in texts]
+
+
+def test_a_calendar_in_sorted_files(spark):
+    """Made by several tasks, stored as ranges of days that don't overlap, each in order."""
+    days = cal.dim_date(spark, date(2026, 3, 4))
+    assert days.rdd.getNumPartitions() > 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = write_sorted(days, scratch_path(spark, "calendar"), "date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = stored.groupBy(F.input_file_name().alias("f")).agg(F.min("date").alias("a"), F.max("date").alias("b"), F.collect_list("date").alias("l")).collect()
+    files.sort(key=lambda r: r.a)
+    assert len(files) > 1 and all(x.b < y.a for x, y in zip(files, files[1:], strict=False))
+    assert all(r.l == sorted(r.l) for r in files) and sum(len(r.l) for r in files) == 13_149
