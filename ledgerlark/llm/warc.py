@@ -27,7 +27,7 @@ from ledgerlark.llm.common import written
 from ledgerlark.session import scratch_path
 
 CHUNK = 1 << 16
-MAX_HEADER = 1 << 20
+MAX_HEADER = 1 << 31  # a header holds its url, and no text of a table is longer
 ARCHIVE_BYTES = 64 << 20
 MOST_READERS = 20_000  # tasks of a reading job; with more archives a task reads several
 LEAST_REVISIT = 1000
@@ -40,9 +40,23 @@ RECORD = (
 )
 
 
+#: Hadoop's names of a store, and those that pyarrow has for it.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def arrow_uri(uri: str) -> str:
+    """The URI of a shared folder as pyarrow spells it; a plain path is a local file. HDFS needs libhdfs on the executors."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or not re.fullmatch(r"[a-z][a-z0-9+.-]+", scheme):
+        return f"file://{uri}"
+    if scheme == "file":  # Hadoop writes one slash where there is no host
+        return f"file:///{rest.lstrip('/')}"
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def storage(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system and path of a URI that Spark would understand too."""
-    return pyarrow.fs.FileSystem.from_uri(uri if re.match(r"[a-z][a-z0-9+.-]+:", uri) else f"file://{uri}")
+    """The file system and path of a shared folder's URI."""
+    return pyarrow.fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 def _b32(data: bytes) -> str:

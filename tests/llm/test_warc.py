@@ -114,3 +114,27 @@ def test_a_record_that_is_missing_is_noticed(spark):
     manifest = warc.write_archives(pages(spark, [(1, "u", "a")]), folder)
     with pytest.raises(Exception, match="1 records of 2"):
         warc.read_archives(manifest.selectExpr("path", "records + 1 AS records", "bytes"), folder).collect()
+
+
+@pytest.mark.parametrize(
+    ("uri", "told"),
+    [
+        ("s3a://bucket/a b", "s3://bucket/a b"),
+        ("s3n://bucket/x", "s3://bucket/x"),
+        ("s3://bucket/x", "s3://bucket/x"),
+        ("gs://bucket/x", "gs://bucket/x"),
+        ("hdfs://name:8020/x", "hdfs://name:8020/x"),
+        ("viewfs://cluster/x", "viewfs://cluster/x"),
+        ("file:/tmp/x", "file:///tmp/x"),
+        ("file:///tmp/x", "file:///tmp/x"),
+        ("/tmp/x", "file:///tmp/x"),
+    ],
+)
+def test_stores_by_the_names_that_hadoop_gives_them(uri, told):
+    assert warc.arrow_uri(uri) == told
+
+
+def test_a_url_of_any_length(spark):
+    url = "http://a.example/" + "x" * 1_200_000
+    _, _, out = written_and_read(spark, [(1, url, "body"), (2, "u", "y" * 2000), (3, url + "z", "y" * 2000)])
+    assert {r.page_id: r.url for r in out} == {1: url, 2: "u", 3: url + "z"} and all(r.verified for r in out)
