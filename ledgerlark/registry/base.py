@@ -43,7 +43,7 @@ def tables(spark: SparkSession, folder: str) -> Tables:
 
 
 def part(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    """Plan ``fn(tables)`` once per folder; the plan is reused, not its rows."""
+    """Plan ``fn(tables)`` once per folder; the plan is reused, not its rows. What it stores is stored once."""
 
     @wraps(fn)
     def planned(t: Tables) -> DataFrame:

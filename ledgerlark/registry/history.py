@@ -10,7 +10,7 @@ from ledgerlark.operators.history_store import HistoryTable, Run
 from ledgerlark.operators.keyed import KeyedTable
 from ledgerlark.operators.restate import Load, RestatedTable
 from ledgerlark.operators.staging import typed
-from ledgerlark.registry.base import Tables, query
+from ledgerlark.registry.base import Tables, part, query
 from ledgerlark.registry.marketing import visits
 from ledgerlark.registry.revenue import hierarchy
 from ledgerlark.session import scratch_path
@@ -199,6 +199,7 @@ _RUNS = f"""
     ended AS (SELECT * FROM steps WHERE was AND (NOT here OR price IS DISTINCT FROM before))"""
 
 
+@part
 def _price_runs(t: Tables) -> tuple[HistoryTable, list[Run]]:
     """Every run against what the one before has stored."""
     table = HistoryTable(t.spark, scratch_path(t.spark, "price-history"), t["raw_prices_first"].schema, ["id"], buckets=16)
@@ -253,6 +254,7 @@ def visits_merge(t: Tables):
     return table.read().drop("_loaded_at")
 
 
+@part
 def _on_time(t: Tables):
     """Three deliveries through the stream, each landed when the one before has been loaded."""
     spark, raw = t.spark, stream.RAW_TABLES[stream.VISITS].schema
@@ -287,6 +289,7 @@ def visits_late(t: Tables):
 _CLICK_DAYS = "CAST(CAST(date AS DATE) AS VARCHAR) AS day"
 
 
+@part
 def _restated(t: Tables) -> tuple[RestatedTable, list[Load]]:
     first = t["raw_gads_clicks"]
     table = RestatedTable(t.spark, scratch_path(t.spark, "clicks"), first.schema, "date")
