@@ -10,6 +10,9 @@ from ledgerlark.operators.keyed import KeyedTable
 from ledgerlark.session import delete_path, scratch_path
 from ledgerlark.sources.schemas import LOADED_AT
 
+#: Rows left out of a batch whose keys and digests may be sent to every executor: some MB.
+SENT_ROWS = 100_000
+
 
 def load_on_time(
     stream: DataFrame, table: KeyedTable, late_path: str, checkpoint: str, delay: str, key: str = "id", at: str = "visited_at"
@@ -37,12 +40,18 @@ def load_on_time(
         stored = spark.read.schema(batch.schema).parquet(place)
         new = stored.where("__taken").drop("__taken")
         table.write_batch(new, batch_id, [F.col(LOADED_AT)])
-        left = _left_out(stored.where(~F.col("__taken")).drop("__taken"), new, key)
-        held = table.read().join(left.select(key).distinct(), key, "left_semi")
+        rest = scratch_path(spark, "stream-left")
+        _left_out(stored, key).write.parquet(rest)
+        delete_path(spark, place)
+        left = spark.read.schema(new.schema).parquet(rest)
+        # The planner takes digests for much smaller than they are, so the joins go by counted rows.
+        way = "broadcast" if left.count() <= SENT_ROWS else "merge"
+        held = table.read().join(left.select(key).distinct().hint(way), key, "left_semi")
         content = [c for c in new.columns if c != LOADED_AT]
-        late = left.withColumn("__d", _digest(content)).join(held.select(_digest(content).alias("__d")).distinct(), "__d", "left_anti")
+        digests = held.select(_digest(content).alias("__d")).distinct().hint(way)
+        late = left.withColumn("__d", _digest(content)).join(digests, "__d", "left_anti")
         late.select(*new.columns).write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
-        delete_path(spark, place)
+        delete_path(spark, rest)
 
     return both.writeStream.foreachBatch(part).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -51,13 +60,15 @@ def _digest(columns: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256)
 
 
-def _left_out(seen: DataFrame, taken: DataFrame, key: str) -> DataFrame:
-    """The rows of a batch that were not taken; of equal rows, as many as were not."""
-    numbered = [*[F.col(f"`{c}`") for c in seen.columns]]
-    came = seen.groupBy(*numbered).agg(F.count(F.lit(1)).alias("__n")).withColumn("__d", _digest(seen.columns))
-    went = taken.where(F.col(key).isNotNull()).groupBy(_digest(seen.columns).alias("__d")).agg(F.count(F.lit(1)).alias("__t"))
-    rest = came.join(went, "__d", "left").withColumn("__n", F.col("__n") - F.coalesce("__t", F.lit(0))).where("__n > 0")
-    return rest.select(*seen.columns, F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int")))).select(*seen.columns)
+def _left_out(batch: DataFrame, key: str) -> DataFrame:
+    """The rows of a batch that were not taken; of equal rows, as many as were not.
+
+    Rows seen count up and rows taken down, so one aggregate tells them and nothing is joined.
+    """
+    columns = [c for c in batch.columns if c != "__taken"]
+    count = F.sum(F.when(F.col("__taken"), -1).otherwise(1)).alias("__n")
+    rest = batch.where(F.col(key).isNotNull()).groupBy(*[F.col(f"`{c}`") for c in columns]).agg(count).where("__n > 0")
+    return rest.select(*columns, F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int")))).select(*columns)
 
 
 def late_rows(stream_schema, table: KeyedTable, late_path: str) -> DataFrame:

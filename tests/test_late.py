@@ -45,3 +45,14 @@ def test_rows_are_in_the_table_or_beside_it(spark, rows):
 def test_no_late_rows_yet(spark):
     table = KeyedTable(spark, scratch_path(spark, "table"), VISITS.schema, ["id"])
     assert late.late_rows(VISITS.schema, table, scratch_path(spark, "late")).count() == 0
+
+
+def test_rows_left_out_are_told_by_one_aggregate(spark, rows):
+    seen = [visit(1, 5), visit(1, 5), visit(2, 6), visit(3, 7, "/a"), visit(3, 7, "/b")]
+    taken = [visit(1, 5), visit(3, 7, "/b"), visit(4, None), visit(None, 8)]
+    batch = spark.createDataFrame(seen, VISITS.schema).selectExpr("*", "false AS __taken")
+    batch = batch.union(spark.createDataFrame(taken, VISITS.schema).selectExpr("*", "true AS __taken"))
+    left = late._left_out(batch, "id")
+    assert rows(left, "id", "landing_page") == [(1, "/"), (2, "/"), (3, "/a")]
+    # A join would be planned by what the planner takes digests for, and send them to the driver.
+    assert "Join" not in left._jdf.queryExecution().toString()
