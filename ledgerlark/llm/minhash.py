@@ -219,24 +219,28 @@ def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch."""
+    """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch.
+
+    Where both sketches are whole sets they are exact at once, and only the other pairs meet their full sets.
+    """
     pairs = sent_along(scratch.stored(pairs, "near-pairs"))
 
-    def side(name: str, column: str) -> DataFrame:
-        return sets.select(F.col("cls").alias(name), F.col(column).alias(f"s{name}"))
+    def side(name: str, values: Column) -> DataFrame:
+        return sets.select(F.col("cls").alias(name), F.col("n").alias(f"n{name}"), values.alias(f"s{name}"))
 
-    met = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
+    both = F.size(F.array_intersect("sa", "sb"))
+    reached = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
+    met = pairs.join(side("a", F.col("sketch")), "a").join(side("b", F.col("sketch")), "b")
+    whole = F.greatest("na", "nb") <= k
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    met = met.withColumn("u", F.size(union)).withColumn("s", F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))))
-    enough = F.when(F.col("u") < k, F.col("s") * 100 >= F.col("u") * percent).otherwise(
-        F.col("s") >= least_shared(k, percent)
-    )
-    pairs = sent_along(scratch.stored(met.where(enough).select("a", "b"), "near-likely"))
-    met = pairs.join(side("a", "set"), "a").join(side("b", "set"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    met = met.where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b").distinct()
-    links = written(met, "near-links")
-    scratch.drop("near-pairs", "near-likely")
+    likely = F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))) >= least_shared(k, percent)
+    met = met.where(F.when(whole, reached).otherwise(likely)).select("a", "b", whole.alias("whole"))
+    met = scratch.stored(met, "near-likely")
+    pairs = sent_along(scratch.stored(met.where("NOT whole").select("a", "b"), "near-unsure"))
+    full = F.coalesce("set", "sketch")
+    sure = pairs.join(side("a", full), "a").join(side("b", full), "b").where(reached).select("a", "b")
+    links = written(met.where("whole").select("a", "b").union(sure).distinct(), "near-links")
+    scratch.drop("near-pairs", "near-likely", "near-unsure")
     return links
 
 
@@ -282,6 +286,7 @@ def near_duplicates(
     texts = docs.where("doc_id IS NOT NULL").join(listed, "doc_id", "left_semi")
     sets = texts.select(F.col("doc_id").alias("cls"), full_sets(size)(F.col("text")).alias("set")).where("size(set) > 0")
     sets = sets.select("cls", F.size("set").cast("bigint").alias("n"), F.slice("set", 1, long_k).alias("sketch"), "set")
+    sets = sets.withColumn("set", F.when(F.col("n") > long_k, F.col("set")))
     scratch = Scratch(docs.sparkSession)
     sets = scratch.stored(sets, "near-sets")
 

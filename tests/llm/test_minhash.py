@@ -181,3 +181,14 @@ def test_query_matches_sql(spark):
     cursor = con.execute(queries.ORACLES["op8_minhash"])
     assert df.columns == [d[0] for d in cursor.description]
     assert sorted(map(tuple, df.collect())) == sorted(cursor.fetchall())
+
+
+def test_whole_sketches_decide_without_the_full_sets(spark, rows):
+    from ledgerlark.llm.common import Scratch
+
+    held = [(1, 8, list(range(8)), None), (2, 8, [0, 1, 2, 3, 4, 5, 6, 9], None), (3, 8, [0, 1, 2, 3, 20, 21, 22, 23], None)]
+    held += [(4, 20, list(range(100, 116)), list(range(100, 120))), (5, 21, list(range(100, 116)), list(range(100, 121)))]
+    sets = spark.createDataFrame(held, "cls bigint, n bigint, sketch array<bigint>, set array<bigint>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5), (1, 4)], "a bigint, b bigint")
+    links = minhash.confirmed(pairs, sets, 16, 75, Scratch(spark))
+    assert rows(links, "a", "b") == [(1, 2), (4, 5)]
