@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from ledgerlark.llm.common import Scratch, sent_along, slices, written
+from ledgerlark.llm.common import SENT_ROWS, Scratch, sent_along, slices, written
 from ledgerlark.llm.graph import components
 
 SKETCH = 32
@@ -218,27 +218,39 @@ def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
     return met.select(F.least("xcls", "cls").alias("a"), F.greatest("xcls", "cls").alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch.
+def met_sets(pairs: DataFrame, sets: DataFrame, values: Column) -> DataFrame:
+    """Stored pairs (a, b) with the sizes and the values of both classes.
 
-    Where both sketches are whole sets they are exact at once, and only the other pairs meet their full sets.
+    Few pairs are sent along, and then only sets that are in one are shuffled.
     """
-    pairs = sent_along(scratch.stored(pairs, "near-pairs"))
 
-    def side(name: str, values: Column) -> DataFrame:
+    def side(name: str) -> DataFrame:
         return sets.select(F.col("cls").alias(name), F.col("n").alias(f"n{name}"), values.alias(f"s{name}"))
 
+    others = side("b")
+    if pairs.count() <= SENT_ROWS:
+        others = others.join(F.broadcast(pairs.select("b")), "b", "left_semi")
+        pairs = F.broadcast(pairs)
+    return pairs.join(side("a"), "a").join(others, "b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch.
+
+    Where both sketches are whole sets they are exact at once, and only the other pairs meet their full sets. One
+    of such a pair is larger than a sketch, so no set below the threshold's share of that size is part of a link.
+    """
     both = F.size(F.array_intersect("sa", "sb"))
     reached = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
-    met = pairs.join(side("a", F.col("sketch")), "a").join(side("b", F.col("sketch")), "b")
+    met = met_sets(scratch.stored(pairs, "near-pairs"), sets, F.col("sketch"))
     whole = F.greatest("na", "nb") <= k
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     likely = F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))) >= least_shared(k, percent)
     met = met.where(F.when(whole, reached).otherwise(likely)).select("a", "b", whole.alias("whole"))
     met = scratch.stored(met, "near-likely")
-    pairs = sent_along(scratch.stored(met.where("NOT whole").select("a", "b"), "near-unsure"))
-    full = F.coalesce("set", "sketch")
-    sure = pairs.join(side("a", full), "a").join(side("b", full), "b").where(reached).select("a", "b")
+    pairs = scratch.stored(met.where("NOT whole").select("a", "b"), "near-unsure")
+    large = sets.where(F.col("n") * 100 > k * percent)
+    sure = met_sets(pairs, large, F.coalesce("set", "sketch")).where(reached).select("a", "b")
     links = written(met.where("whole").select("a", "b").union(sure).distinct(), "near-links")
     scratch.drop("near-pairs", "near-likely", "near-unsure")
     return links

@@ -192,3 +192,37 @@ def test_whole_sketches_decide_without_the_full_sets(spark, rows):
     pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5), (1, 4)], "a bigint, b bigint")
     links = minhash.confirmed(pairs, sets, 16, 75, Scratch(spark))
     assert rows(links, "a", "b") == [(1, 2), (4, 5)]
+
+
+def test_few_pairs_pick_the_sets_that_are_shuffled(spark, executed, tmp_path, monkeypatch):
+    """Sets that are in no pair stay where they are, and the rows are those of the plain joins."""
+    sets = spark.createDataFrame([(i, 600, [i, i + 1]) for i in range(60)], "cls bigint, n bigint, sketch array<bigint>")
+    spark.createDataFrame([(1, 2), (1, 3), (4, 3)], "a bigint, b bigint").write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    few = minhash.met_sets(pairs, sets, sets.sketch)
+    assert "LeftSemi" in executed(few)
+    monkeypatch.setattr(minhash, "SENT_ROWS", 2)
+    many = minhash.met_sets(pairs, sets, sets.sketch)
+    assert "LeftSemi" not in executed(many)
+    expected = [(1, 2, [1, 2], [2, 3]), (1, 3, [1, 2], [3, 4]), (4, 3, [4, 5], [3, 4])]
+    for met in (few, many):
+        assert sorted((r.a, r.b, r.sa, r.sb) for r in met.collect()) == expected
+
+
+def test_full_sets_meet_only_where_a_long_one_can_be_alike(spark, tmp_path, monkeypatch):
+    """One of 512 hashes at 85 % needs a partner of 436 at least; smaller sets are not read for their full values."""
+    def row(cls, n):
+        return (cls, n, list(range(min(n, 512))), list(range(n)) if n > 512 else None)
+
+    spark.createDataFrame(
+        [row(1, 600), row(2, 520), row(3, 500), row(4, 436), row(5, 435), row(6, 400)],
+        "cls bigint, n bigint, sketch array<bigint>, set array<bigint>",
+    ).write.parquet(str(tmp_path / "sets"))
+    sets = spark.read.parquet(str(tmp_path / "sets"))
+    pairs = spark.createDataFrame([(a, b) for a in range(1, 7) for b in range(a + 1, 7)], "a bigint, b bigint")
+    read, plain_join = [], minhash.met_sets
+    monkeypatch.setattr(minhash, "met_sets", lambda p, s, v: read.append(s.count()) or plain_join(p, s, v))
+    found = {(r.a, r.b) for r in minhash.confirmed(pairs, sets, 512, 85, minhash.Scratch(spark)).collect()}
+    size = {1: 600, 2: 520, 3: 500, 4: 436, 5: 435, 6: 400}
+    assert found == {(a, b) for a in size for b in size if a < b and 100 * size[b] >= 85 * size[a]}
+    assert read == [6, 4]
