@@ -13,7 +13,8 @@ classes that share a list at all; those get long sketches, and there the place o
 first shared value bounds what a pair can share. Within a list, classes are first compared
 with one pivot of similar size; confirmed links join them to components, and only
 classes that are still in different components are compared pair by pair. Links within
-a component cannot change the result, which is the components.
+a component cannot change the result, which is the components. Where a list has many pairs
+for its classes, sets are not moved once for every pair: blocks of its classes get each set once.
 """
 
 from __future__ import annotations
@@ -36,6 +37,11 @@ SKETCH = 32
 LONG_SKETCH = 512
 CACHED_WORDS = 100_000
 STAR_ROUNDS = 6
+#: From so many pairs on, lists with ``DENSE`` times more pairs than sets to be moved are compared in blocks.
+BLOCK_PAIRS = 20_000
+DENSE = 2
+#: Values of sets in one half of a block, a few MB.
+BLOCK_VALUES = 1 << 19
 #: A sketch may miss a link at the threshold once in so many.
 MISSED = 10**12
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -202,12 +208,12 @@ def first_meetings(lists: DataFrame) -> DataFrame:
     return rows.select("x.v", "cls", "n", "x.place", "comp", "x.minor", prior.alias("prior"))
 
 
-def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
+def other_pairs(lists: DataFrame, k: int, percent: int, listed: bool = False) -> DataFrame:
     """All pairs (a < b) that share a list, may reach the threshold and are in different components.
 
     One side is always outside the list's largest component, so a large group of copies
     is met by outsiders and never by itself. A pair is made in the list of its first shared value alone, so
-    once, however many values it shares.
+    once, however many values it shares; ``listed`` adds that value as ``v``.
     """
     lists = first_meetings(lists)
     left = lists.where("minor").select("v", *[F.col(c).alias(f"x{c}") for c in ("cls", "n", "place", "comp", "prior")])
@@ -215,7 +221,8 @@ def other_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
     may = may_reach(F.col("xn"), F.col("xplace"), F.col("n"), F.col("place"), k, percent)
     new = ~F.arrays_overlap("xprior", "prior")
     met = left.join(lists, "v").where((F.col("xcomp") != F.col("comp")) & once & may & new)
-    return met.select(F.least("xcls", "cls").alias("a"), F.greatest("xcls", "cls").alias("b")).distinct()
+    pairs = met.select(F.least("xcls", "cls").alias("a"), F.greatest("xcls", "cls").alias("b"), "v")
+    return pairs.groupBy("a", "b").agg(F.min("v").alias("v")) if listed else pairs.select("a", "b").distinct()
 
 
 def met_sets(pairs: DataFrame, sets: DataFrame, values: Column) -> DataFrame:
@@ -234,25 +241,107 @@ def met_sets(pairs: DataFrame, sets: DataFrame, values: Column) -> DataFrame:
     return pairs.join(side("a"), "a").join(others, "b")
 
 
+def in_blocks(pairs: DataFrame, weights: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Stored pairs (a, b, v) as those that are met one by one, and those of dense lists with their ``block``, if any.
+
+    ``weights`` has the values ``w`` of every ``cls``. The classes of a list are dealt into parts of about
+    ``BLOCK_VALUES``, and a block holds two parts; small lists share one. So a set is moved once for
+    every part of its lists, however many pairs it is in. Pairs without ``v`` stay single.
+    """
+    if "v" not in pairs.columns or pairs.count() < BLOCK_PAIRS:
+        return pairs, None
+    ends = pairs.select("v", F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sums = ends.join(weights.groupBy("cls").agg(F.sum("w").alias("w")), "cls").groupBy("v")
+    sums = sums.agg(F.count(F.lit(1)).alias("m"), F.sum("w").alias("w"))
+    sums = sums.withColumn("parts", F.ceil(F.col("w") / F.lit(BLOCK_VALUES)))
+    counts = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    dense = counts.join(sums, "v").where(F.col("c") >= F.col("m") * F.col("parts") * F.lit(DENSE))
+    dense = scratch.stored(dense.select("v", "parts", "w"), "near-dense")
+    values = dense.agg(F.sum(F.col("w") * F.col("parts"))).first()[0]
+    if not values:
+        return pairs, None
+    lists = sent_along(dense.select("v", "parts"))
+    single = scratch.stored(pairs.join(lists, "v", "left_anti").select(pairs.columns), "near-single")
+    x, y = (F.pmod(F.xxhash64(c), "parts") for c in "ab")
+    block = F.pmod(F.xxhash64("v", F.least(x, y), F.greatest(x, y)), F.lit(-(-values // BLOCK_VALUES)))
+    return single, scratch.stored(pairs.join(lists, "v").select("a", "b", "v", block.alias("block")), "near-blocks")
+
+
+def _alike(k: int | None, percent: int):
+    """Arrow function of a block's pairs and sets: the pairs that are or may be alike, and whether that is ``whole``, so sure.
+
+    Without ``k`` the values are full sets. A class may have several sets; each is compared.
+    """
+    asked = least_shared(k, percent) if k else 0
+
+    def block(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        sets = sets.sort_by("cls")
+        ids, sizes = sets["cls"].to_numpy(), sets["n"].to_numpy()
+        values = sets["held"].combine_chunks()
+        flat, ends = values.values.to_numpy(), values.offsets.to_numpy()
+        rows, sure = [], []
+        ranges = [np.searchsorted(ids, pairs[c].to_numpy(), side).tolist() for c in "ab" for side in ("left", "right")]
+        for row, (a, past_a, b, past_b) in enumerate(zip(*ranges, strict=True)):
+            for i in range(a, past_a):
+                for j in range(b, past_b):
+                    both = np.concatenate((flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]))
+                    both.sort(kind="stable")
+                    again = both[1:] == both[:-1]
+                    shared, union = int(again.sum()), len(both) - int(again.sum())
+                    whole = not k or max(sizes[i], sizes[j]) <= k
+                    if not whole:
+                        if union > k:
+                            least = both[np.concatenate(([True], ~again))][k - 1]
+                            shared = int(np.searchsorted(both[1:][again], least, "right"))
+                        alike = shared >= asked
+                    else:
+                        alike = shared * 100 >= union * percent
+                    if alike:
+                        rows.append(row)
+                        sure.append(whole)
+        found = pairs.select(["a", "b", "v"]).take(pa.array(rows, pa.int64()))
+        return found.append_column("whole", pa.array(sure, pa.bool_()))
+
+    return block
+
+
+def block_pairs(dense: DataFrame, sets: DataFrame, values: Column, k: int | None, percent: int, scratch: Scratch) -> DataFrame:
+    """The stored pairs of blocks that are alike, or may be where sketches of ``k`` are not whole sets: a, b, v, whole."""
+    ends = dense.select("block", F.explode(F.array("a", "b")).alias("cls")).distinct()
+    ends = sent_along(scratch.stored(ends, "near-ends"))
+    moved = sets.select("cls", "n", values.alias("held")).join(ends, "cls")
+    both = dense.groupBy("block").cogroup(moved.groupBy("block"))
+    return both.applyInArrow(_alike(k, percent), "a bigint, b bigint, v bigint, whole boolean")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs whose full sets reach the threshold, stored; most others fall by the estimate of the union's sketch.
 
     Where both sketches are whole sets they are exact at once, and only the other pairs meet their full sets. One
     of such a pair is larger than a sketch, so no set below the threshold's share of that size is part of a link.
+    Pairs with the list ``v`` that they come from are compared in blocks where that list is dense.
     """
     both = F.size(F.array_intersect("sa", "sb"))
     reached = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
-    met = met_sets(scratch.stored(pairs, "near-pairs"), sets, F.col("sketch"))
+    pairs = scratch.stored(pairs, "near-pairs")
+    columns = pairs.columns
+    single, dense = in_blocks(pairs, sets.select("cls", F.least("n", F.lit(k)).alias("w")), scratch)
+    met = met_sets(single, sets, F.col("sketch"))
     whole = F.greatest("na", "nb") <= k
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     likely = F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))) >= least_shared(k, percent)
-    met = met.where(F.when(whole, reached).otherwise(likely)).select("a", "b", whole.alias("whole"))
+    met = met.where(F.when(whole, reached).otherwise(likely)).select(*columns, whole.alias("whole"))
+    if dense is not None:
+        met = met.unionByName(block_pairs(dense, sets, F.col("sketch"), k, percent, scratch))
     met = scratch.stored(met, "near-likely")
-    pairs = scratch.stored(met.where("NOT whole").select("a", "b"), "near-unsure")
-    large = sets.where(F.col("n") * 100 > k * percent)
-    sure = met_sets(pairs, large, F.coalesce("set", "sketch")).where(reached).select("a", "b")
+    pairs = scratch.stored(met.where("NOT whole").select(columns), "near-unsure")
+    large, full = sets.where(F.col("n") * 100 > k * percent), F.coalesce("set", "sketch")
+    single, dense = in_blocks(pairs, large.select("cls", F.col("n").alias("w")), scratch)
+    sure = met_sets(single, large, full).where(reached).select("a", "b")
+    if dense is not None:
+        sure = sure.union(block_pairs(dense, large, full, None, percent, scratch).select("a", "b"))
     links = written(met.where("whole").select("a", "b").union(sure).distinct(), "near-links")
-    scratch.drop("near-pairs", "near-likely", "near-unsure")
+    scratch.drop("near-pairs", "near-likely", "near-unsure", "near-dense", "near-single", "near-blocks", "near-ends")
     return links
 
 
@@ -313,7 +402,7 @@ def near_duplicates(
         if not todo["pairs"]:
             break
         last = turn > 0 and (todo["pairs"] <= 1000 * todo["members"] or turn == STAR_ROUNDS)
-        pairs = other_pairs(lists, long_k, percent) if last else star_pairs(lists.drop("minor"), long_k, percent, turn)
+        pairs = other_pairs(lists, long_k, percent, listed=True) if last else star_pairs(lists.drop("minor"), long_k, percent, turn)
         found = confirmed(pairs, sets, long_k, percent, scratch)
         links = found if links is None else links.union(found)
         joined = scratch.stored(components(links), "near-components")

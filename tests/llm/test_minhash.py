@@ -226,3 +226,48 @@ def test_full_sets_meet_only_where_a_long_one_can_be_alike(spark, tmp_path, monk
     size = {1: 600, 2: 520, 3: 500, 4: 436, 5: 435, 6: 400}
     assert found == {(a, b) for a in size for b in size if a < b and 100 * size[b] >= 85 * size[a]}
     assert read == [6, 4]
+
+
+@pytest.mark.parametrize("values", [1 << 19, 200])
+def test_dense_lists_move_every_set_once_per_part_and_not_once_per_pair(spark, monkeypatch, values):
+    rng = random.Random(4)
+    base = rng.sample(range(-10_000, 10_000), 40)
+
+    def held(cls):
+        kept = {x if rng.random() < 0.93 else rng.randrange(10**6) for x in base[: rng.choice([14, 40])]}
+        return (cls, len(kept), sorted(kept)[:16], sorted(kept) if len(kept) > 16 else None)
+
+    # Class 7 has two sets, and the classes from 40 on are in a sparse list.
+    sets = spark.createDataFrame(
+        [held(c) for c in [*range(50), 7]], "cls bigint, n bigint, sketch array<bigint>, set array<bigint>"
+    )
+    pairs = [(a, b, 1) for a in range(40) for b in range(a + 1, 40)] + [(40, b, 2) for b in range(41, 50)] + [(3, 99, 1)]
+    pairs = spark.createDataFrame(pairs, "a bigint, b bigint, v bigint")
+    plainly = minhash.confirmed(pairs.select("a", "b"), sets, 16, 75, minhash.Scratch(spark)).collect()
+
+    single, plain_join, moved, plain_blocks = [], minhash.met_sets, [], minhash.block_pairs
+    monkeypatch.setattr(minhash, "BLOCK_PAIRS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_VALUES", values)
+    monkeypatch.setattr(minhash, "met_sets", lambda p, s, v: single.append(p.collect()) or plain_join(p, s, v))
+    monkeypatch.setattr(minhash, "block_pairs", lambda d, *x: moved.append(d.collect()) or plain_blocks(d, *x))
+    links = minhash.confirmed(pairs, sets, 16, 75, minhash.Scratch(spark)).collect()
+    assert sorted(links) == sorted(plainly) and 0 < len(links) < 700
+    assert {r.v for r in single[0]} == {2}
+    assert {(r.a, r.b) for r in moved[0]} == {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(3, 99)}
+    for dense in moved:
+        assert len({(r.block, c) for r in dense for c in (r.a, r.b)}) < len(dense)
+
+
+@pytest.mark.parametrize(("long_k", "values"), [(512, 1 << 19), (512, 300), (64, 300)])
+def test_blocks_against_all_pairs(spark, monkeypatch, long_k, values):
+    rows = corpus(random.Random(1), n_base=6)
+    rows += [rows[0], rows[1], (rows[2][0], rows[3][1]), (None, rows[2][1])]
+    rng, base = random.Random(8), [f"b{i}" for i in range(150)]
+    rows += [(9000 + i, " ".join(w if rng.random() < 0.975 else f"n{rng.random()}" for w in base)) for i in range(60)]
+    used, plain_blocks = [], minhash.block_pairs
+    monkeypatch.setattr(minhash, "BLOCK_PAIRS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_VALUES", values)
+    monkeypatch.setattr(minhash, "DENSE", 0)
+    monkeypatch.setattr(minhash, "block_pairs", lambda d, *x: used.append(d.count()) or plain_blocks(d, *x))
+    assert ours(spark, rows, size=3, percent=85, long_k=long_k) == plain(rows, 3, 85)
+    assert used and max(used) > 20
